@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 MINUTE = 60_000_000
 HOUR = 60 * MINUTE
 
-_SLICE, _SIDE = "_slice", "_side"
+_SIDE = "_side"
 _BEFORE, _POINT, _AFTER = 0, 1, 2
 
 
@@ -57,8 +57,9 @@ def running(
     if not widths:
         return _windowed(rows, keys, [time], sums, previous, following, work)
 
-    rows = rows.withColumn(_SLICE, F.col(time) - F.pmod(time, F.lit(widths[0])))
-    group = [*keys, _SLICE]
+    slice_start = f"_slice_{widths[0]}"
+    rows = rows.withColumn(slice_start, F.col(time) - F.pmod(time, F.lit(widths[0])))
+    group = [*keys, slice_start]
     slices = rows.groupBy(*group).agg(
         *(F.sum(work[name]).alias(name) for name in sums),
         *(F.max_by(work[name], _time_if_present(work[name], time)).alias(name) for name in previous),
@@ -67,13 +68,13 @@ def running(
     around = running(
         slices.withColumnsRenamed({name: f"{name}_in_slice" for name in sources}),
         keys,
-        _SLICE,
+        slice_start,
         *({name: f"{name}_in_slice" for name in part} for part in (sums, previous, following)),
         widths[1:],
     )
     rows = _with_borders(rows, around, group, [*sums, *previous], list(following), work)
     result = _windowed(rows, group, [_SIDE, time], sums, previous, following, work)
-    return result.where(F.col(_SIDE) == _POINT).drop(_SIDE, _SLICE)
+    return result.where(F.col(_SIDE) == _POINT).drop(_SIDE, slice_start)
 
 
 def _time_if_present(value: str, time: str) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clustertrace.functions import flag, names, present, ratio
-from clustertrace.operators.latest import latest_by_key
 from clustertrace.operators.sliced import HOUR, running
 
 # Levels and limits are kept as whole numbers of this many units per 1.0. A sum of
@@ -44,6 +43,23 @@ def running_level(
     return levels.select(*keys, time, level.alias(name))
 
 
+def _at_instants(df: DataFrame, keys: list[str], time: str, value: str, tie: list[str]) -> DataFrame:
+    """First and last value of every instant in ``(tie, value)`` order, NULL if it has none."""
+    order = F.struct(*tie, value) if tie else F.col(value)
+    known = F.when(F.col(value).isNotNull(), order)
+    field = f".{value}" if tie else ""
+    return (
+        df.groupBy(*keys, time)
+        .agg(F.min(known).alias("_first"), F.max(known).alias("_last"))
+        .select(
+            *keys,
+            time,
+            F.col(f"_first{field}").alias("_first"),
+            F.col(f"_last{field}").alias("_last"),
+        )
+    )
+
+
 def carry_forward(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -55,27 +71,21 @@ def carry_forward(
     """The value in force at every instant of a key, as ``(keys, time, value)``.
 
     An instant without a value takes the latest earlier one, and before the
-    first value the first one holds. Of several values at one instant the last
-    in ``(tie, value)`` order counts. A key that has no value keeps NULL.
+    first value that first one holds. Values of one instant are ordered by
+    ``(tie, value)``; the last of them is the one in force from there on. A key
+    that has no value keeps NULL.
     """
     keys, tie = names(keys), names(tie)
-    order = F.struct(*tie, value) if tie else F.col(value)
-    last = F.max(F.when(F.col(value).isNotNull(), order)).alias("_last")
-    instants = (
-        present(df, *keys, time)
-        .groupBy(*keys, time)
-        .agg(last)
-        .select(*keys, time, F.col(f"_last.{value}" if tie else "_last").alias("_value"))
-    )
+    instants = _at_instants(present(df, *keys, time), keys, time, value, tie)
     filled = running(
         instants,
         keys,
         time,
-        previous={"_earlier": "_value"},
-        following={"_later": "_value"},
+        previous={"_earlier": "_last"},
+        following={"_later": "_first"},
         widths=widths,
     )
-    return filled.select(*keys, time, F.coalesce("_value", "_earlier", "_later").alias(value))
+    return filled.select(*keys, time, F.coalesce("_last", "_earlier", "_later").alias(value))
 
 
 def over_limit_fraction(
@@ -92,43 +102,50 @@ def over_limit_fraction(
     """Fraction of time a key's level is above its limit, as ``(keys, fraction)``.
 
     ``levels`` holds changes of the level, which starts at 0; ``limits`` holds
-    values of the limit, the first of which also holds before its time. Of
-    several limits at one instant the last in ``(tie, limit)`` order counts.
-    Only keys found in both inputs are returned. Time runs from the first to the
-    last instant of either series; where that is no time at all, the fraction
-    is 0.
+    values of the limit, the first of which also holds before its time. Limits
+    of one instant are ordered by ``(tie, limit)``; the last of them is the one
+    in force from there on. Only keys found in both inputs are returned. Time
+    runs from the first to the last instant of either series; where that is no
+    time at all, the fraction is 0.
     """
     keys, tie = names(keys), names(tie)
-    limits = present(limits, *keys, time, limit)
-    if tie:
-        limits = latest_by_key(limits, [*keys, time], tie, limit)
     changes = present(levels, *keys, time, delta).select(
         *keys, time, _units(F.col(delta)).alias("_change")
     )
+    known = _at_instants(present(limits, *keys, time, limit), keys, time, limit, tie)
     # Both series in one shuffle: a row per instant, whichever series it is from.
     instants = (
         changes.unionByName(
-            limits.select(*keys, time, _units(F.col(limit)).alias("_limit")),
+            known.select(
+                *keys,
+                time,
+                _units(F.col("_first")).alias("_first"),
+                _units(F.col("_last")).alias("_last"),
+            ),
             allowMissingColumns=True,
         )
         .groupBy(*keys, time)
-        .agg(F.sum("_change").alias("_change"), F.max("_limit").alias("_limit"))
+        .agg(
+            F.sum("_change").alias("_change"),
+            F.max("_first").alias("_first"),
+            F.max("_last").alias("_last"),
+        )
     )
     merged = running(
         instants,
         keys,
         time,
         sums={"_level": "_change"},
-        previous={"_limit_before": "_limit"},
-        following={"_limit_after": "_limit", "_until": time},
+        previous={"_earlier": "_last"},
+        following={"_later": "_first", "_until": time},
         widths=widths,
     )
     level = F.col("_level") + F.coalesce("_change", F.lit(0))
-    in_force = F.coalesce("_limit", "_limit_before", "_limit_after")
+    in_force = F.coalesce("_last", "_earlier", "_later")
     lasting = F.col("_until") - F.col(time)
     totals = merged.groupBy(*keys).agg(
         F.max(flag(F.col("_change").isNotNull())).alias("_has_level"),
-        F.max(flag(F.col("_limit").isNotNull())).alias("_has_limit"),
+        F.max(flag(F.col("_last").isNotNull())).alias("_has_limit"),
         F.sum(F.when(level > in_force, lasting)).alias("_over"),
         F.sum(lasting).alias("_total"),
     )

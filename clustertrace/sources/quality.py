@@ -45,12 +45,10 @@ def validate_trace(spark: SparkSession, path: str | Sequence[str], schema: Struc
     paths = path if isinstance(path, str) else list(path)
     lines = (
         spark.read.schema(file_schema(schema).add(_BAD, StringType()))
-        .options(
-            **CSV_OPTIONS,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=_BAD,
-            columnPruning="false",
-        )
+        .options(**CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD)
         .csv(paths)
     )
-    return count_issues(lines, schema, _BAD)
+    # Spark neither parses nor checks a field that the plan does not use. This test
+    # holds for every row and uses them all.
+    every_field = F.xxhash64(*schema.names) >= F.lit(-(2**63))
+    return count_issues(lines.where(every_field), schema, _BAD)

@@ -121,6 +121,11 @@ _OVERCOMMIT = f"""{_CHANGES},
         FROM machine_events WHERE cpus IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY machine_id, time
                                    ORDER BY event_type DESC, cpus DESC) = 1),
+    initial AS (
+        SELECT machine_id, CAST(round_even(cpus * CAST(1e10 AS DOUBLE), 0) AS BIGINT) AS cap
+        FROM machine_events WHERE cpus IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY machine_id
+                                   ORDER BY time, event_type, cpus) = 1),
     shared AS (SELECT DISTINCT machine_id FROM capacities
                WHERE machine_id IN (SELECT machine_id FROM changes)),
     instants AS (
@@ -132,10 +137,10 @@ _OVERCOMMIT = f"""{_CHANGES},
     states AS (
         SELECT machine_id, lead(time) OVER w - time AS dt,
                sum(delta) OVER (w ROWS UNBOUNDED PRECEDING) AS level,
-               coalesce(last_value(cap IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING),
-                        first_value(cap IGNORE NULLS) OVER
-                            (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS cap
-        FROM instants WINDOW w AS (PARTITION BY machine_id ORDER BY time)),
+               coalesce(last_value(instants.cap IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING),
+                        initial.cap) AS cap
+        FROM instants JOIN initial USING (machine_id)
+        WINDOW w AS (PARTITION BY machine_id ORDER BY time)),
     fractions AS (
         SELECT machine_id,
                CASE WHEN coalesce(sum(dt), 0) = 0 THEN CAST(0 AS DOUBLE)

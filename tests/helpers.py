@@ -1,0 +1,65 @@
+"""Small tables and sequential checks that share nothing with the Spark code."""
+
+ADD, REMOVE, UPDATE = 0, 1, 2
+
+
+def machine_rows(spark, rows):
+    return spark.createDataFrame(rows, "time long, machine_id long, event_type int, cpus double")
+
+
+def task_rows(spark, rows):
+    return spark.createDataFrame(
+        rows,
+        "time long, job_id long, task_index long, machine_id long, event_type int,"
+        " scheduling_class int, priority int, cpu_request double",
+    )
+
+
+def usage_rows(spark, rows):
+    return spark.createDataFrame(
+        rows, "job_id long, task_index long, machine_id long, cpu_rate double"
+    )
+
+
+def pairs(df):
+    """Rows of a two-column result as a dict."""
+    return {row[0]: row[1] for row in df.collect()}
+
+
+def by_machine(rows):
+    """Rows with a capacity, per machine, in the fixed order."""
+    machines = {}
+    for time, machine, event, cpus in rows:
+        if cpus is not None:
+            machines.setdefault(machine, []).append((time, event, cpus))
+    return {machine: sorted(events) for machine, events in machines.items()}
+
+
+def lost_sequentially(events):
+    """Capacity x gap, walking through a machine's events one by one."""
+    open_gap, total = None, 0.0
+    for time, event, cpus in events:
+        if event == REMOVE:
+            open_gap = (time, cpus)
+        if event == ADD and open_gap:
+            total += open_gap[1] * (time - open_gap[0])
+            open_gap = None
+    return total
+
+
+def class_sequentially(events):
+    removals = [cpus for _, event, cpus in events if event == REMOVE]
+    return removals[-1] if removals else events[0][2]
+
+
+def over_limit_sequentially(capacities, changes):
+    """Replay both series instant by instant; levels in whole units of 1e-10."""
+    instants = sorted({t for t, *_ in capacities} | {t for t, _ in changes})
+    over = 0
+    for start, end in zip(instants, instants[1:]):
+        known = [c for c in capacities if c[0] <= start]
+        capacity = known[-1][-1] if known else capacities[0][-1]
+        level = sum(round(d * 1e10) for t, d in changes if t <= start)
+        over += (end - start) * (level > round(capacity * 1e10))
+    span = instants[-1] - instants[0]
+    return over / span if span else 0.0
