@@ -4,12 +4,14 @@ A window partitioned by key alone puts a key's whole series in one task, and one
 machine may hold a third of all events. Here the series is cut into time slices
 and no window is wider than a slice:
 
-1. each (key, slice) is reduced to one row, with a map-side part;
+1. the points are shuffled by (key, slice), and every slice is reduced to one row;
 2. the same running values are computed over those rows, one per slice, which
    says what every slice starts from and what comes after it;
 3. these values enter the slice as an extra row before its first and one after
    its last point, and a window over (key, slice) gives the exact result.
 
+Steps 1 and 3 use one shuffle of the points.
+
 The points must be unique in (key, time). A slice of width w then holds at most
 w rows of one key, whatever the size of the input, and the window of step 2 has
 one row per non-empty slice. Several widths, each a multiple of the one before,
@@ -50,64 +52,66 @@ def running(
     ``following``  first non-null value among the later points
     """
     sums, previous, following = dict(sums or {}), dict(previous or {}), dict(following or {})
+    if not widths:
+        return points.select("*", *_windows(keys, [time], sums, previous, following))
+
+    start = f"_slice_{widths[0]}"
+    group = [*keys, start]
+    slice_start = F.col(time) - F.pmod(time, F.lit(widths[0]))
+    rows = points.select("*", slice_start.alias(start)).repartition(*group)
+    around = _around(rows, points.columns, keys, time, start, sums, previous, following, widths[1:])
+
+    # A working column per result: a border row has another value for each of them.
     sources = {**sums, **previous, **following}
-    # One working column per result: a slice has a different sum, last and first value.
     work = {name: f"_{name}" for name in sources}
-    rows = points.withColumns({work[name]: F.col(source) for name, source in sources.items()})
-    if not widths:
-        return _windowed(rows, keys, [time], sums, previous, following, work)
-
-    slice_start = f"_slice_{widths[0]}"
-    rows = rows.withColumn(slice_start, F.col(time) - F.pmod(time, F.lit(widths[0])))
-    group = [*keys, slice_start]
-    slices = rows.groupBy(*group).agg(
-        *(F.sum(work[name]).alias(name) for name in sums),
-        *(F.max_by(work[name], _time_if_present(work[name], time)).alias(name) for name in previous),
-        *(F.min_by(work[name], _time_if_present(work[name], time)).alias(name) for name in following),
+    inside = rows.select(
+        "*", F.lit(_POINT).alias(_SIDE), *(F.col(c).alias(work[name]) for name, c in sources.items())
     )
-    around = running(
-        slices.withColumnsRenamed({name: f"{name}_in_slice" for name in sources}),
-        keys,
-        slice_start,
-        *({name: f"{name}_in_slice" for name in part} for part in (sums, previous, following)),
-        widths[1:],
+    entering, leaving = [*sums, *previous], list(following)
+    sides = [side for side, used in ((_BEFORE, entering), (_AFTER, leaving)) if used]
+    others = [c for c in around.columns if c in points.columns and c not in keys]
+    borders = around.select("*", F.explode(F.array(*map(F.lit, sides))).alias(_SIDE)).select(
+        *group,
+        *others,
+        _SIDE,
+        *(F.when(F.col(_SIDE) == _BEFORE, F.col(name)).alias(work[name]) for name in entering),
+        *(F.when(F.col(_SIDE) == _AFTER, F.col(name)).alias(work[name]) for name in leaving),
     )
-    rows = _with_borders(rows, around, group, [*sums, *previous], list(following), work)
-    result = _windowed(rows, group, [_SIDE, time], sums, previous, following, work)
-    return result.where(F.col(_SIDE) == _POINT).drop(_SIDE, slice_start)
-
+    # Both sides are partitioned alike, so the union needs no further shuffle.
+    both = inside.unionByName(borders.repartition(*group), allowMissingColumns=True)
+    parts = ({name: work[name] for name in part} for part in (sums, previous, following))
+    valued = both.select("*", *_windows(group, [_SIDE, time], *parts))
+    return valued.where(F.col(_SIDE) == _POINT).select(*points.columns, *sources)
 
-def _time_if_present(value: str, time: str) -> Column:
-    return F.when(F.col(value).isNotNull(), F.col(time))
 
+def _around(rows, columns, keys, time, start, sums, previous, following, widths) -> DataFrame:
+    """One row per slice: its running values, seen from the slice as a whole."""
 
-def _with_borders(rows, around, group, entering, leaving, work) -> DataFrame:
-    """Add the rows that carry a slice's surroundings into it.
+    def if_present(value: str) -> Column:
+        return F.when(F.col(value).isNotNull(), F.col(time))
 
-    Both borders come from one pass over ``around``: two separate unions would
-    ask for different columns and so compute it, and all it is made of, twice.
-    """
-    sides = [side for side, names in ((_BEFORE, entering), (_AFTER, leaving)) if names]
-    side = F.col(_SIDE)
-    borders = around.withColumn(_SIDE, F.explode(F.array(*map(F.lit, sides)))).select(
-        *group,
-        _SIDE,
-        *(F.when(side == _BEFORE, F.col(name)).alias(work[name]) for name in entering),
-        *(F.when(side == _AFTER, F.col(name)).alias(work[name]) for name in leaving),
+    sources = {**sums, **previous, **following}
+    of_slice = {name: f"{name}_of_slice" for name in sources}
+    # Columns that no running value needs are kept, with any value, so that this
+    # reads the same shuffled columns as the windows and Spark shuffles them once.
+    others = [c for c in columns if c not in {*keys, time, *sources.values()}]
+    slices = rows.groupBy(*keys, start).agg(
+        *(F.sum(c).alias(of_slice[name]) for name, c in sums.items()),
+        *(F.max_by(c, if_present(c)).alias(of_slice[name]) for name, c in previous.items()),
+        *(F.min_by(c, if_present(c)).alias(of_slice[name]) for name, c in following.items()),
+        *(F.max(c).alias(c) for c in others),
     )
-    return rows.withColumn(_SIDE, F.lit(_POINT)).unionByName(borders, allowMissingColumns=True)
+    parts = ({name: of_slice[name] for name in part} for part in (sums, previous, following))
+    return running(slices, keys, start, *parts, widths)
 
 
-def _windowed(rows, group, order, sums, previous, following, work) -> DataFrame:
-    """Running values inside one window partition."""
+def _windows(group, order, sums, previous, following) -> list[Column]:
+    """The running values inside one window partition."""
     window = Window.partitionBy(*group).orderBy(*order)
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-    values: dict[str, Column] = {}
-    for name in sums:
-        values[name] = F.coalesce(F.sum(work[name]).over(earlier), F.lit(0))
-    for name in previous:
-        values[name] = F.last(work[name], ignorenulls=True).over(earlier)
-    for name in following:
+    return [
+        *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(name) for name, c in sums.items()),
+        *(F.last(c, ignorenulls=True).over(earlier).alias(name) for name, c in previous.items()),
         # A frame that reaches forward to the end would be rebuilt for every row.
-        values[name] = F.expr(f"lead(`{work[name]}`) IGNORE NULLS").over(window)
-    return rows.withColumns(values).drop(*work.values())
+        *(F.expr(f"lead(`{c}`) IGNORE NULLS").over(window).alias(name) for name, c in following.items()),
+    ]
