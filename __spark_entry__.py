@@ -18,7 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from clustertrace import operators as op  # noqa: E402
 from clustertrace import plans  # noqa: E402
-from clustertrace.functions import cpu_delta, present  # noqa: E402
+from clustertrace.functions import cpu_delta, label, percent_text, present  # noqa: E402
 from clustertrace.sources import (  # noqa: E402
     MACHINE_EVENTS,
     TASK_EVENTS,
@@ -107,6 +107,18 @@ def _lines(machine: DataFrame) -> DataFrame:
     )
 
 
+def _report(job: DataFrame, task: DataFrame) -> DataFrame:
+    """Evicted or killed jobs and tasks as lines of a report."""
+    hits = plans.evicted_or_killed(job, task)
+    return hits.select("entity", "n_hit", percent_text(F.col("pct")).alias("share"))
+
+
+def _labelled(task: DataFrame, usage: DataFrame) -> DataFrame:
+    ratios = plans.overestimation_by_eviction(task, usage)
+    names = {0: "Non-evicted tasks", 1: "Evicted tasks"}
+    return ratios.select(label(F.col("evicted"), names).alias("tasks"), "avg_ratio")
+
+
 def _issues(task: DataFrame) -> DataFrame:
     """Missing mandatory fields of task events, asking for the machine as well."""
     strict = type(TASK_EVENTS)(
@@ -185,6 +197,8 @@ PLANS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
     ),
     "log_count": ("task", lambda t: with_log_count(plans.machines_per_job(t), "n_jobs")),
     "count_issues": ("task", _issues),
+    "percent_text": ("job task", _report),
+    "label": ("task usage", _labelled),
     "parse_lines": ("machine", _lines),
 }
 

@@ -1,6 +1,6 @@
 """Column expressions shared by the operators and the analytics."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -48,3 +48,14 @@ def cpu_delta(event_type: Column, cpu_request: Column) -> Column:
     return F.when(event_type == SCHEDULE, cpu_request).when(
         event_type.isin(*ENDINGS), -cpu_request
     )
+
+
+def label(code: Column, labels: Mapping[int, str]) -> Column:
+    """Text for a code; NULL for a code without one."""
+    texts = F.create_map(*(F.lit(part) for pair in labels.items() for part in pair))
+    return F.element_at(texts, code)
+
+
+def percent_text(value: Column, places: int = 2) -> Column:
+    """A percentage as printed in a report, such as ``41.35%``."""
+    return F.format_string(f"%.{places}f%%", value)

@@ -9,14 +9,15 @@ from clustertrace.functions import flag, names, present, ratio
 from clustertrace.operators.sliced import HOUR, running
 
 # Levels and limits are kept as whole numbers of this many units per 1.0. A sum of
-# doubles depends on the order of the rows, which matters where a level meets its
-# limit exactly; a sum of BIGINT does not, and costs far less than one of decimals.
-# It holds levels up to 9.2e8 and raises an overflow beyond, in ANSI mode.
+# fractions depends on the order of the rows, which matters where a level meets its
+# limit exactly. Whole numbers held in a DOUBLE add up exactly, in any order, up to
+# levels of 9e5, and beyond that lose a last digit instead of overflowing; they cost
+# half of what decimals do.
 UNITS = 1e10
 
 
 def _units(value: Column) -> Column:
-    return F.rint(value * F.lit(UNITS)).cast("bigint")
+    return F.rint(value * F.lit(UNITS))
 
 
 def running_level(

@@ -386,6 +386,32 @@ ORACLES: dict[str, str] = {
             WHERE event_type = 1 AND machine_id IS NOT NULL GROUP BY job_id)
         SELECT n_machines, count(*) AS n_jobs, round(log10(count(*)), 8) AS log10_n
         FROM spread GROUP BY n_machines"""),
+    "label": _sql("task_events task_usage", f"""
+        WITH {_REQUESTED.strip()}, {_USED.strip()},
+        evicted_tasks AS (
+            SELECT DISTINCT job_id, task_index FROM task_events
+            WHERE event_type = 2 AND cpu_request IS NOT NULL),
+        ratios AS (
+            SELECT CASE WHEN e.job_id IS NULL THEN 0 ELSE 1 END AS evicted,
+                   requested / used AS ratio
+            FROM requested r JOIN used u USING (job_id, task_index)
+            LEFT JOIN evicted_tasks e
+              ON e.job_id = r.job_id AND e.task_index = r.task_index
+            WHERE used > 0)
+        SELECT CASE evicted WHEN 1 THEN 'Evicted tasks' ELSE 'Non-evicted tasks' END AS tasks,
+               round(avg(ratio), 8) AS avg_ratio
+        FROM ratios WHERE ratio < 50 GROUP BY evicted"""),
+    "percent_text": _sql("job_events task_events", """
+        WITH counts AS (
+            SELECT 'jobs' AS entity, count(DISTINCT job_id) AS n_total,
+                   count(DISTINCT job_id) FILTER (WHERE event_type IN (2, 5)) AS n_hit
+            FROM job_events
+            UNION ALL
+            SELECT 'tasks', count(DISTINCT (job_id, task_index)),
+                   count(DISTINCT (job_id, task_index)) FILTER (WHERE event_type IN (2, 5))
+            FROM task_events)
+        SELECT entity, n_hit,
+               printf('%.2f%%', n_hit / CAST(n_total AS DOUBLE) * 100) AS share FROM counts"""),
     "count_issues": _sql(
         "task_events",
         _mandatory("time", "job_id", "task_index", "event_type", "priority")
