@@ -6,11 +6,11 @@ instant have a fixed order. Rows without a weight are ignored.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clustertrace.functions import flag, names, present
-from clustertrace.operators.sliced import HOUR, running
+from clustertrace.operators.sliced import HOUR
 from clustertrace.sources.schemas import ADD, REMOVE
 
 
@@ -29,7 +29,8 @@ def gap_loss(
 
     A repeated down replaces the open one, an up without an open down and a down
     that is never followed by an up add nothing, other events are ignored. Keys
-    with a down or up event but no gap are there with 0.
+    with a down or up event but no gap are there with 0. ``widths`` are the time
+    slices that long series are cut into, as in ``running``.
     """
     keys = names(keys)
     is_down, is_up = F.col(event) == down, F.col(event) == up
@@ -47,20 +48,44 @@ def gap_loss(
     else:
         ends = (F.col("_up") == 1) & F.col("_down").isNull()
         opens = F.when(F.col("_up") == 0, F.col("_down"))
-    instants = instants.select(
-        *keys, time, ends.alias("_ends"), F.coalesce(opens, F.lit(0.0)).alias("_open")
+    spans = instants.select(
+        *keys,
+        F.col(time).alias("_from"),
+        F.col(time).alias("_to"),
+        ends.alias("_ends"),
+        F.coalesce(opens, F.lit(0.0)).alias("_open"),
+        F.lit(0.0).alias("_lost"),
     )
-    # An instant that leaves nothing open passes on weight 0.
-    paired = running(
-        instants,
-        keys,
-        time,
-        previous={"_since": time, "_weight": "_open"},
-        widths=widths,
-    )
-    lost = F.col("_weight") * (F.col(time) - F.col("_since"))
-    return paired.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(F.col("_ends"), lost)), F.lit(0.0)).alias(name)
+    for width in widths:
+        start = f"_slice_{width}"
+        spans = _joined(
+            spans.withColumn(start, F.col("_from") - F.pmod("_from", F.lit(width))), [*keys, start]
+        )
+    return _joined(spans, keys).select(*keys, F.col("_lost").alias(name))
+
+
+def _joined(spans: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Join the spans of every group, in order of time, into one.
+
+    A span reaches from its first instant to its last. It is known by whether the
+    first ends a gap, the weight that the last leaves open (0 for none), and what
+    was lost inside. Between two neighbours, a gap left open by the one and ended
+    by the other is lost as well. Spans of instants make spans of slices, and these
+    make the span of a key, so that no window holds more than a slice's instants.
+    """
+    window = Window.partitionBy(*group).orderBy("_from")
+    between = F.lag("_open").over(window) * (F.col("_from") - F.lag("_to").over(window))
+    lost = F.col("_lost") + F.when(F.col("_ends"), F.coalesce(between, F.lit(0.0))).otherwise(0.0)
+    return (
+        spans.withColumn("_lost", lost)
+        .groupBy(*group)
+        .agg(
+            F.min_by("_ends", "_from").alias("_ends"),
+            F.max_by("_open", "_from").alias("_open"),
+            F.sum("_lost").alias("_lost"),
+            F.min("_from").alias("_from"),
+            F.max("_to").alias("_to"),
+        )
     )
 
 

@@ -34,13 +34,14 @@ def test_plan_has_no_python_and_no_unkeyed_gathering(spark, sf_dir, name):
 )
 def test_windows_over_rows_are_cut_into_slices(spark, sf_dir, name):
     plan = executed(entry_module.queries()[name](spark, sf_dir))
-    windows = [line for line in plan.splitlines() if re.search(r"[-:+] Window \[", line)]
-    keys = [re.findall(r"\], \[([^\]]*)\], \[", line)[-1] for line in windows]
-    assert len(keys) == 2
-    # The windows by machine alone are those over one row per slice.
-    assert sorted("_slice_" in key for key in keys) == [False, True]
-    over_slices = next(line for line, key in zip(windows, keys) if "_slice_" not in key)
-    assert re.search(r"\], \[_slice_\d+#\d+L ASC", over_slices)
+    lines = plan.splitlines()
+    windows = [i for i, line in enumerate(lines) if re.search(r"[-:+] Window \[", line)]
+    keys = {i: re.findall(r"\], \[([^\]]*)\], \[", lines[i])[-1] for i in windows}
+    assert sorted("_slice_" in key for key in keys.values()) == [False, True]
+    # The window by machine alone reads one aggregated row per slice.
+    over_slices = next(i for i, key in keys.items() if "_slice_" not in key)
+    below = next(line for line in lines[over_slices:] if "Aggregate(" in line)
+    assert re.search(r"keys=\[machine_id#\d+L, _slice_\d+#\d+L\]", below)
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf_dir, tmp_path):
