@@ -11,12 +11,13 @@ from clustertrace.operators.rates import (
     hit_summary,
     share_by,
 )
-from clustertrace.operators.sliced import HOUR, MINUTE, running
+from clustertrace.operators.sliced import HOUR, MINUTE, SLICE, running
 from clustertrace.operators.steps import carry_forward, over_limit_fraction, running_level
 
 __all__ = [
     "HOUR",
     "MINUTE",
+    "SLICE",
     "any_event",
     "carry_forward",
     "count_by",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clustertrace.functions import flag, names, present
-from clustertrace.operators.sliced import HOUR
+from clustertrace.operators.sliced import SLICE
 from clustertrace.sources.schemas import ADD, REMOVE
 
 
@@ -23,7 +23,7 @@ def gap_loss(
     down: int = REMOVE,
     up: int = ADD,
     name: str = "lost",
-    widths: Sequence[int] = (HOUR,),
+    widths: Sequence[int] = (SLICE,),
 ) -> DataFrame:
     """Weight lost while down, as ``(keys, lost)``: sum of weight at down x gap to up.
 

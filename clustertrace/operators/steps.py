@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clustertrace.functions import flag, names, present, ratio
-from clustertrace.operators.sliced import HOUR, running
+from clustertrace.operators.sliced import SLICE, running
 
 # Levels and limits are kept as whole numbers of this many units per 1.0. A sum of
 # fractions depends on the order of the rows, which matters where a level meets its
@@ -26,7 +26,7 @@ def running_level(
     time: str,
     delta: str,
     name: str = "level",
-    widths: Sequence[int] = (HOUR,),
+    widths: Sequence[int] = (SLICE,),
 ) -> DataFrame:
     """Running sum of changes per key, as ``(keys, time, level)``.
 
@@ -67,7 +67,7 @@ def carry_forward(
     time: str,
     value: str,
     tie: str | Sequence[str] = (),
-    widths: Sequence[int] = (HOUR,),
+    widths: Sequence[int] = (SLICE,),
 ) -> DataFrame:
     """The value in force at every instant of a key, as ``(keys, time, value)``.
 
@@ -98,7 +98,7 @@ def over_limit_fraction(
     limit: str = "limit",
     tie: str | Sequence[str] = (),
     name: str = "fraction",
-    widths: Sequence[int] = (HOUR,),
+    widths: Sequence[int] = (SLICE,),
 ) -> DataFrame:
     """Fraction of time a key's level is above its limit, as ``(keys, fraction)``.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clustertrace.functions import pct, present
 from clustertrace.operators import (
-    HOUR,
+    SLICE,
     count_by,
     down_class,
     gap_loss,
@@ -31,7 +31,7 @@ def capacity_distribution(machine_events: DataFrame) -> DataFrame:
 
 
 def maintenance_loss_pct(
-    machine_events: DataFrame, widths: Sequence[int] = (HOUR,)
+    machine_events: DataFrame, widths: Sequence[int] = (SLICE,)
 ) -> DataFrame:
     """Compute lost to maintenance, in percent of all compute: one row ``(pct_lost)``.
 
@@ -46,7 +46,7 @@ def maintenance_loss_pct(
 
 
 def loss_share_by_capacity(
-    machine_events: DataFrame, widths: Sequence[int] = (HOUR,)
+    machine_events: DataFrame, widths: Sequence[int] = (SLICE,)
 ) -> DataFrame:
     """Share of the lost compute per machine capacity, ``(cpus, pct)``, by capacity.
 

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clustertrace.functions import cpu_delta, present
-from clustertrace.operators import HOUR, over_limit_fraction
+from clustertrace.operators import SLICE, over_limit_fraction
 from clustertrace.sources.schemas import ENDINGS, MACHINE_KEY, SCHEDULE
 
 
 def overcommit_by_machine(
-    machine_events: DataFrame, task_events: DataFrame, widths: Sequence[int] = (HOUR,)
+    machine_events: DataFrame, task_events: DataFrame, widths: Sequence[int] = (SLICE,)
 ) -> DataFrame:
     """Fraction of time each machine is overcommitted, ``(machine_id, fraction)``.
 
@@ -34,7 +34,7 @@ def overcommit_by_machine(
 
 
 def overcommit_fraction(
-    machine_events: DataFrame, task_events: DataFrame, widths: Sequence[int] = (HOUR,)
+    machine_events: DataFrame, task_events: DataFrame, widths: Sequence[int] = (SLICE,)
 ) -> DataFrame:
     """Mean over machines of the overcommitted fraction: one row ``(avg_fraction)``."""
     machines = overcommit_by_machine(machine_events, task_events, widths)
