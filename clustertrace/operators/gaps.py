@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clustertrace.functions import flag, names, present
-from clustertrace.operators.sliced import SLICE
+from clustertrace.operators.sliced import SLICE, check_widths
 from clustertrace.sources.schemas import ADD, REMOVE
 
 
@@ -32,6 +32,7 @@ def gap_loss(
     with a down or up event but no gap are there with 0. ``widths`` are the time
     slices that long series are cut into, as in ``running``.
     """
+    check_widths(widths)
     keys = names(keys)
     is_down, is_up = F.col(event) == down, F.col(event) == up
     # Within an instant the smaller code comes first. Ups first: they end the open

@@ -14,7 +14,7 @@ Steps 1 and 3 use one shuffle of the points.
 
 The points must be unique in (key, time). A slice of width w then holds at most
 w rows of one key, whatever the size of the input, and the window of step 2 has
-one row per non-empty slice. Several widths, each a multiple of the one before,
+one row per non-empty slice. Several widths, each wider than the one before,
 repeat step 1 so that step 2 stays small for very long series as well.
 
 Slices depend on the time alone, so a recomputed task gives the same rows.
@@ -38,6 +38,12 @@ _SIDE = "_side"
 _BORDER, _POINT = 0, 1
 
 
+def check_widths(widths: Sequence[int]) -> None:
+    """Slices must have a length, and each level must be wider than the one before."""
+    if any(wide <= narrow for narrow, wide in zip((0, *widths), widths)):
+        raise ValueError(f"slice widths must be positive and increase: {tuple(widths)}")
+
+
 def running(
     points: DataFrame,
     keys: Sequence[str],
@@ -56,6 +62,7 @@ def running(
     ``previous``   last non-null value among the earlier points
     ``following``  first non-null value among the later points
     """
+    check_widths(widths)
     sums, previous, following = dict(sums or {}), dict(previous or {}), dict(following or {})
     if not widths:
         return points.select("*", *_windows(keys, [time], sums, previous, following))

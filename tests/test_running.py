@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from clustertrace.operators import carry_forward, over_limit_fraction, running, running_level
+from clustertrace.operators import carry_forward, gap_loss, over_limit_fraction, running, running_level
 from tests.helpers import over_limit_sequentially
 
 WIDTHS = [(), (7,), (10, 100)]
@@ -140,3 +140,12 @@ def test_step_overlap_on_random_series(spark, widths):
     result = over_limit_fraction(levels, limits, "k", tie="event", widths=widths).collect()
     want = {k: over_limit_sequentially(capacities[k], changes[k]) for k in changes}
     assert {r.k: r.fraction for r in result} == pytest.approx(want, abs=0)
+
+
+@pytest.mark.parametrize("widths", [(0,), (-5,), (10, 10), (20, 10)], ids=str)
+def test_slice_widths_must_increase(spark, widths):
+    df = spark.createDataFrame([(1, 1, 1.0)], "k long, t long, v double")
+    with pytest.raises(ValueError, match="increase"):
+        running_level(df, "k", "t", "v", widths=widths)
+    with pytest.raises(ValueError, match="increase"):
+        gap_loss(df, "k", "t", "t", "v", widths=widths)
