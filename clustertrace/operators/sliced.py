@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 MINUTE = 60_000_000
 HOUR = 60 * MINUTE
 
-# A good width leaves the busiest key with up to some ten million points per slice,
+# A good width leaves the busiest key with less than 100 million points per slice,
 # and the other keys with several. Ten minutes does so for a third of 10^12 events
 # on one machine of a month-long trace; for a small or sparse trace an hour is better.
 SLICE = 10 * MINUTE
