@@ -31,6 +31,21 @@ from clustertrace.sources import (  # noqa: E402
 from clustertrace.sources.schemas import EVICT, MACHINE_KEY, SCHEDULE, TASK_KEY  # noqa: E402
 from oracle_queries import ORACLES  # noqa: E402
 
+# The training-data operators are an optional part; only their absence is passed over.
+LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+LLM_ORACLES: dict[str, str] = {}
+try:
+    import corpus_pipeline
+    from clustertrace.llm.queries import ORACLES as LLM_ORACLES
+    from clustertrace.llm.queries import QUERIES
+
+    LLM = {**QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        LLM_ORACLES = {**LLM_ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "clustertrace.llm", "clustertrace.llm.queries"):
+        raise
+
 PLACES = 8
 
 
@@ -218,11 +233,11 @@ def _query(tables: str, plan: Callable[..., DataFrame]) -> Callable[[SparkSessio
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(tables, plan) for name, (tables, plan) in PLANS.items()}
+    return {name: _query(tables, plan) for name, (tables, plan) in PLANS.items()} | LLM
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | LLM_ORACLES
 
 
 def entry(spark: SparkSession) -> DataFrame:
