@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clustertrace.llm.bpe import encode_decode
 from clustertrace.llm.exact_dedup import exact_duplicates
+from clustertrace.llm.packing import pack
 from clustertrace.llm.url_filter import judge_urls
 
 
@@ -28,14 +31,37 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "duplicate.*")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    columns = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset"]
+    return pieces.select(*columns, F.crc32("ids").alias("ids_crc32"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, spark.sql(URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    coded = encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_packing": op3_packing,
     "op4_url_filter": op4_url_filter,
+    "op5_bpe": op5_bpe,
 }
 
 ORACLES: dict[str, str] = {
