@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from clustertrace.llm.bpe import encode_decode
 from clustertrace.llm.exact_dedup import exact_duplicates
+from clustertrace.llm.language_id import identify
 from clustertrace.llm.packing import pack
+from clustertrace.llm.toxicity import fit, held_out, score
 from clustertrace.llm.url_filter import judge_urls
 
 
@@ -31,6 +33,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "duplicate.*")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
     columns = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset"]
@@ -57,11 +63,24 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
     "op3_packing": op3_packing,
     "op4_url_filter": op4_url_filter,
     "op5_bpe": op5_bpe,
+    "op6_toxicity": op6_toxicity,
 }
 
 ORACLES: dict[str, str] = {
