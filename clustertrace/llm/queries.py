@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clustertrace.llm.bpe import encode_decode
 from clustertrace.llm.exact_dedup import exact_duplicates
 from clustertrace.llm.language_id import identify
+from clustertrace.llm.ngram_join import similar_documents
 from clustertrace.llm.packing import pack
 from clustertrace.llm.toxicity import fit, held_out, score
 from clustertrace.llm.url_filter import judge_urls
@@ -74,6 +75,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
+    "op7_ngram_join": op7_ngram_join,
 }
 
 ORACLES: dict[str, str] = {

@@ -253,3 +253,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     rows = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string"))
     return rows.mapInArrow(run, f"doc {kind}, score double").withColumnRenamed("doc", id_col)
+
+
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score is below ``threshold``."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(model.scores(batch.column(at)) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -1,16 +1,70 @@
-"""The corpus pipeline."""
+"""From raw documents to packed sequences: the corpus pipeline.
+
+Each stage works on all that the one before kept, and returns the columns of ``documents``; the last
+returns the pieces of the packed sequences. A stage that drops documents drops whole rows and leaves
+the others as they are. Rows without an id are dropped by the toxicity and exact stages only.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clustertrace.llm.exact_dedup import exact_duplicates
+from clustertrace.llm.language_id import identify
+from clustertrace.llm.ngram_join import similar_documents
+from clustertrace.llm.queries import packed, table
+from clustertrace.llm.shared import stored
+from clustertrace.llm.toxicity import fit, without_toxic
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose ids aren't listed; the list is written first, so that Spark knows its size."""
+    return docs.join(stored(ids.dropna().distinct(), "dropped"), "doc_id", "left_anti")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in an identified language; of rows with one id, all stay or go together."""
+    kept = identify(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    return _without(docs, kept.filter("NOT kept").select("doc_id"))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't find toxic."""
+    return without_toxic(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of equal texts."""
+    return exact_duplicates(docs).filter("duplicate.kept").drop("duplicate")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component of similar texts."""
+    found = similar_documents(docs)
+    return _without(docs, found.filter("doc_id <> component_id").select("doc_id"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, placed in sequences."""
+    return packed(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("language ID", language),
+    ("toxicity", toxicity),
+    ("exact dedup", exact_dedup),
+    ("n-gram Jaccard join", near_dedup),
+    ("packing", packing),
+]
 
+#: SQL can't express the classifiers and the tokenizer; the stages are tested one by one instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """The last stage's rows for the whole table ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
