@@ -40,7 +40,9 @@ def exact_duplicates(
     rows = docs.select(
         *(F.col(f"`{c}`") for c in docs.columns if c.lower() != "duplicate"),
         normalised(text_col).alias("__text"),
-    ).withColumn("__hash", digest(F.col("__text")))
+    )
+    # The SHA-256 is taken before the join, so that texts nobody asks for stay out of the shuffle.
+    rows = rows.withColumns({"__hash": digest(F.col("__text")), "__sha": F.sha2("__text", 256)})
     texts = rows.groupBy("__hash", "__text").agg(
         F.min(f"`{id_col}`").alias("__keep"), F.count(F.lit(1)).alias("__size")
     )
@@ -63,6 +65,6 @@ def exact_duplicates(
         F.col("__keep").alias("keep_id"),
         F.col("__size").alias("group_size"),
         F.col(f"`{id_col}`").eqNullSafe(F.col("__keep")).alias("kept"),
-        F.sha2("__text", 256).alias("text_sha256"),
+        F.col("__sha").alias("text_sha256"),
     )
-    return joined.withColumn("duplicate", decision).drop("__hash", "__text", "__keep", "__size")
+    return joined.withColumn("duplicate", decision).drop("__hash", "__text", "__sha", "__keep", "__size")
