@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clustertrace.llm.bpe import encode_decode
+from clustertrace.llm.embedding_dedup import near_duplicates
 from clustertrace.llm.exact_dedup import exact_duplicates
 from clustertrace.llm.language_id import identify
 from clustertrace.llm.ngram_join import similar_documents
@@ -79,6 +80,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_ngram_join": op7_ngram_join,
+    "op8_embedding_dedup": op8_embedding_dedup,
 }
 
 ORACLES: dict[str, str] = {
