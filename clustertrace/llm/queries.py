@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -14,8 +15,10 @@ from clustertrace.llm.exact_dedup import exact_duplicates
 from clustertrace.llm.language_id import identify
 from clustertrace.llm.ngram_join import similar_documents
 from clustertrace.llm.packing import pack
+from clustertrace.llm.shared import shared_dir
 from clustertrace.llm.toxicity import fit, held_out, score
 from clustertrace.llm.url_filter import judge_urls
+from clustertrace.llm.warc import read_archives, write_archives
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +87,13 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/archives-{uuid.uuid4().hex}"
+    write_archives(table(spark, sf_dir, "pages"), folder)
+    read = read_archives(folder, spark)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -93,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_ngram_join": op7_ngram_join,
     "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_warc": op9_warc,
 }
 
 ORACLES: dict[str, str] = {
