@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from clustertrace.llm.bpe import encode_decode
 from clustertrace.llm.embedding_dedup import near_duplicates
 from clustertrace.llm.exact_dedup import exact_duplicates
+from clustertrace.llm.html_text import main_text
 from clustertrace.llm.language_id import identify
 from clustertrace.llm.ngram_join import similar_documents
 from clustertrace.llm.packing import pack
@@ -94,6 +95,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ngram_join": op7_ngram_join,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_warc": op9_warc,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLES: dict[str, str] = {
