@@ -20,6 +20,8 @@ _NO_ID = 1 << 62
 def unit_rows(column: pa.Array, dims: int) -> np.ndarray:
     """Vectors as rows of length 1 in double precision."""
     rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+    # A power of two is exact, and keeps squares of very large or small numbers in range.
+    rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(1, keepdims=True, initial=0))[1])
     return rows / np.sqrt((rows * rows).sum(1, keepdims=True))
 
 
