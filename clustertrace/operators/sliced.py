@@ -34,7 +34,7 @@ HOUR = 60 * MINUTE
 # on one machine of a month-long trace; for a small or sparse trace an hour is better.
 SLICE = 10 * MINUTE
 
-_SIDE = "_side"
+_SIDE, _COUNT = "_side", "_count_of_"
 _BORDER, _POINT = 0, 1
 
 
@@ -56,7 +56,9 @@ def running(
     """Add running values to points that are unique in ``(keys, time)``.
 
     Each mapping goes from the name of a new column to the column it is made of,
-    looking at the other points of the key only, never at the point itself:
+    looking at the other points of the key only, never at the point itself. ``widths``
+    are in the unit of ``time``; the default is meant for microseconds, and times in
+    another unit need widths of their own. Further columns of any type are kept.
 
     ``sums``       sum over all earlier points, 0 before the first
     ``previous``   last non-null value among the earlier points
@@ -79,11 +81,11 @@ def running(
     inside = rows.select(
         "*", F.lit(_POINT).alias(_SIDE), *(F.col(c).alias(work[name]) for name, c in sources.items())
     )
-    others = [c for c in around.columns if c in points.columns and c not in keys]
+    # Counts are never below the mark, so this is the mark; but it reads all columns.
+    counts = [F.col(c) for c in around.columns if c.startswith(_COUNT)]
     borders = around.select(
         *group,
-        *others,
-        F.lit(_BORDER).alias(_SIDE),
+        (F.least(F.lit(_BORDER), *counts).cast("int") if counts else F.lit(_BORDER)).alias(_SIDE),
         *(F.col(name).alias(work[name]) for name in sources),
     )
     # Both sides are partitioned alike, so the union needs no further shuffle.
@@ -101,14 +103,15 @@ def _around(rows, columns, keys, time, start, sums, previous, following, widths)
 
     sources = {**sums, **previous, **following}
     of_slice = {name: f"{name}_of_slice" for name in sources}
-    # Columns that no running value needs are kept, with any value, so that this
-    # reads the same shuffled columns as the windows and Spark shuffles them once.
-    others = [c for c in columns if c not in {*keys, time, *sources.values()}]
+    # Columns that no running value is made of are counted, so that this reads the same
+    # shuffled columns as the windows and Spark shuffles them once. A count is there
+    # for every type, and can be hashed.
+    others = [c for c in columns if c not in {*keys, *sources.values()}]
     slices = rows.groupBy(*keys, start).agg(
         *(F.sum(c).alias(of_slice[name]) for name, c in sums.items()),
         *(F.max_by(c, if_present(c)).alias(of_slice[name]) for name, c in previous.items()),
         *(F.min_by(c, if_present(c)).alias(of_slice[name]) for name, c in following.items()),
-        *(F.max(c).alias(c) for c in others),
+        *(F.sum(c).alias(c) if c.startswith(_COUNT) else F.count(c).alias(_COUNT + c) for c in others),
     )
     parts = ({name: of_slice[name] for name in part} for part in (sums, previous, following))
     return running(slices, keys, start, *parts, widths)

@@ -149,3 +149,73 @@ def test_slice_widths_must_increase(spark, widths):
         running_level(df, "k", "t", "v", widths=widths)
     with pytest.raises(ValueError, match="increase"):
         gap_loss(df, "k", "t", "t", "v", widths=widths)
+
+
+def test_further_columns_of_any_type_are_kept_and_read_once(spark, tmp_path):
+    path = str(tmp_path / "points")
+    rows = [(k % 3, k, k % 5, f"s{k}", {"a": k}) for k in range(60)]
+    spark.createDataFrame(rows, "k long, t long, v long, s string, m map<string,int>").write.parquet(path)
+    df = running(spark.read.parquet(path), ["k"], "t", {"total": "v"}, widths=(7, 21))
+    got = {(r.k, r.t): (r.s, r.m, r.total) for r in df.collect()}
+    assert got == {
+        (k, t): (s, m, sum(v2 for k2, t2, v2, *_ in rows if k2 == k and t2 < t)) for k, t, v, s, m in rows
+    }
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    assert "SortAggregate" not in plan
+
+
+def levels(spark, changes, partitions, **options):
+    rows = spark.createDataFrame(changes, "k long, t long, d double").repartition(partitions)
+    return {r.t: r.level for r in running_level(rows, "k", "t", "d", widths=(5,), **options).collect()}
+
+
+@pytest.mark.parametrize("base", [1e6, 9e8, -9e8])
+def test_levels_of_any_size_are_exact(spark, base):
+    changes = [(1, 0, base), (1, 3, 1e-10), (1, 4, 1e-10), (1, 8, -base), (1, 9, 0.1), (1, 9, 0.2), (1, 12, -0.3)]
+    whole = [round(d * 10**10) if abs(d) < 1 else int(d) * 10**10 for _, _, d in changes]
+    expected = {t: sum(w for w, (_, u, _) in zip(whole, changes) if u <= t) for _, t, _ in changes}
+    for seed in (1, 2, 3):
+        shuffled = random.Random(seed).sample(changes, len(changes))
+        got = levels(spark, shuffled, seed)
+        # The result is a DOUBLE; what is left of the large level shows that nothing was lost on the way.
+        assert {t: got[t] for t in (8, 9, 12)} == {t: expected[t] / 1e10 for t in (8, 9, 12)}
+        assert got[4] == pytest.approx(expected[4] / 1e10, rel=1e-15)
+        assert (got[4] != got[0]) == (float(base + 2e-10) != base)
+
+
+def test_over_limit_at_a_large_level(spark):
+    """A level just above, at and just below a limit of a million."""
+    changes = spark.createDataFrame([(1, 0, 1e6), (1, 10, 1e-10), (1, 20, -1e-10), (1, 30, -1e-10)], "k long, time long, delta double")
+    limits = spark.createDataFrame([(1, 0, 1e6), (1, 40, 1e6)], "k long, time long, limit double")
+    for n in (1, 3):
+        [row] = over_limit_fraction(changes.repartition(n), limits, "k", widths=(7,)).collect()
+        assert row["fraction"] == 10 / 40
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    ("changes", "what"),
+    [
+        ([(1, 0, 4e-11)], "too small"),
+        ([(1, 0, float("nan"))], "out of range"),
+        ([(1, 0, 1e10)], "out of range"),
+        ([(1, 0, 6e8), (1, 0, 6e8)], "out of range|overflow"),
+        ([(1, 0, 6e8), (1, 1, 6e8)], "out of range|overflow"),
+        ([(1, 0, 6e8), (1, 50, 6e8), (1, 99, -1.1e9)], "out of range|overflow"),
+    ],
+)
+def test_what_units_cannot_hold_raises(spark, ansi, changes, what):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match=what):
+            levels(spark, changes, 2)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_scale_is_a_parameter(spark):
+    tiny = [(1, t, 4e-11) for t in range(3)]
+    assert levels(spark, tiny, 2, scale=12) == {0: 4e-11, 1: 8e-11, 2: pytest.approx(1.2e-10)}
+    assert levels(spark, [(1, 0, 5e13)], 1, scale=2) == {0: 5e13}
