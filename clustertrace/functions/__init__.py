@@ -57,5 +57,5 @@ def label(code: Column, labels: Mapping[int, str]) -> Column:
 
 
 def percent_text(value: Column, places: int = 2) -> Column:
-    """A percentage as printed in a report, such as ``41.35%``."""
-    return F.format_string(f"%.{places}f%%", value)
+    """A percentage as printed in a report, such as ``41.35%``; NULL for no value."""
+    return F.when(value.isNotNull(), F.format_string(f"%.{places}f%%", value))

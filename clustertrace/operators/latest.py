@@ -34,6 +34,13 @@ def max_with(
 ) -> DataFrame:
     """The largest ``order`` per key and the payload that came with it.
 
-    Rows without ``order`` are ignored; among equals the largest payload wins.
+    Rows without ``order`` are ignored; among equals the largest payload wins. With
+    one payload column, ties are settled first, per key and ``order``. Two plain
+    maxima can be hashed, where the maximum of a struct sorts all rows twice.
     """
-    return latest_by_key(present(df, order), keys, order, payload)
+    rows, keys, payload = present(df, order), names(keys), names(payload)
+    if len(payload) > 1:
+        return latest_by_key(rows, keys, order, payload)
+    [value] = payload
+    ties = rows.groupBy(*keys, order).agg(F.max(value).alias("_value"))
+    return ties.groupBy(*keys).agg(F.max(order).alias(order), F.max_by("_value", order).alias(value))

@@ -45,7 +45,8 @@ def density_grid(
 ) -> DataFrame:
     """Points per grid cell, as ``(xb, yb, n)`` with cell numbers ``floor(x / dx)``.
 
-    A scatter chart of any number of points from a result of bounded size.
+    A scatter chart of any number of points; the result has a row per cell that
+    holds a point, which is bounded where the values are.
     """
     cells = df.select(
         F.floor(F.col(x) / F.lit(dx)).alias(xb), F.floor(F.col(y) / F.lit(dy)).alias(yb)

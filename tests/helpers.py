@@ -35,15 +35,15 @@ def by_machine(rows):
     return {machine: sorted(events) for machine, events in machines.items()}
 
 
-def lost_sequentially(events):
-    """Capacity x gap, walking through a machine's events one by one."""
-    open_gap, total = None, 0.0
-    for time, event, cpus in events:
-        if event == REMOVE:
-            open_gap = (time, cpus)
-        if event == ADD and open_gap:
-            total += open_gap[1] * (time - open_gap[0])
-            open_gap = None
+def lost_by_definition(events):
+    """For every ADD, the last REMOVE since the ADD before it: its capacity x the time between."""
+    adds = [k for k, (_, event, _) in enumerate(events) if event == ADD]
+    total = 0.0
+    for before, k in zip([-1, *adds], adds):
+        removals = [e for e in events[before + 1 : k] if e[1] == REMOVE]
+        if removals:
+            time, _, cpus = removals[-1]
+            total += cpus * (events[k][0] - time)
     return total
 
 

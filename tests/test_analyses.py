@@ -22,7 +22,7 @@ from tests.helpers import (
     UPDATE,
     by_machine,
     class_sequentially,
-    lost_sequentially,
+    lost_by_definition,
     machine_rows,
     pairs,
     task_rows,
@@ -76,7 +76,7 @@ def test_gaps_equal_a_sequential_walk(spark, widths):
     rows += [(5, 99, REMOVE, 0.5), (5, 99, ADD, 1.0), (7, 99, ADD, 0.25)]
     machines = by_machine(rows)
     table = machine_rows(spark, rows).repartition(7)
-    lost = {m: lost_sequentially(events) for m, events in machines.items()}
+    lost = {m: lost_by_definition(events) for m, events in machines.items()}
     assert pairs(gap_loss(table, "machine_id", widths=widths)) == lost
     total, classes = sum(lost.values()), {}
     for machine, events in machines.items():
@@ -264,3 +264,22 @@ def test_results_do_not_depend_on_partitioning(spark, sf_dir):
     assert pairs(plans.capacity_distribution(machine)) == pairs(
         plans.capacity_distribution(mixed(machine))
     )
+
+
+def test_percentages_of_nothing_have_no_text(spark):
+    from clustertrace.functions import percent_text
+
+    jobs = spark.createDataFrame([], "job_id long, event_type int, scheduling_class int")
+    rows = plans.evicted_or_killed(jobs, task_rows(spark, [])).select(percent_text(F.col("pct")).alias("text"))
+    assert [r["text"] for r in rows.collect()] == [None, None]
+    assert spark.range(1).select(percent_text(F.lit(41.349))).first()[0] == "41.35%"
+
+
+def test_max_with_settles_ties_by_the_payload(spark):
+    rows = [(1, 0.5, 2, "b"), (1, 0.5, 3, "a"), (1, 0.4, 9, "z"), (2, None, 7, "x"), (3, 0.1, None, "y"), (3, 0.1, None, None)]
+    df = spark.createDataFrame(rows, "k long, request double, class int, name string")
+    for n in (1, 4):
+        one = max_with(df.repartition(n), "k", "request", "class").collect()
+        assert sorted(map(tuple, one)) == [(1, 0.5, 3), (3, 0.1, None)]
+        two = max_with(df.repartition(n), "k", "request", ["class", "name"]).collect()
+        assert sorted(map(tuple, two)) == [(1, 0.5, 3, "a"), (3, 0.1, None, "y")]
