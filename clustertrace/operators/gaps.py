@@ -30,7 +30,7 @@ def gap_loss(
     A repeated down replaces the open one, an up without an open down and a down
     that is never followed by an up add nothing, other events are ignored. Keys
     with a down or up event but no gap are there with 0. ``widths`` are the time
-    slices that long series are cut into, as in ``running``.
+    slices that long series are cut into, in the unit of ``time``, as in ``running``.
     """
     check_widths(widths)
     keys = names(keys)
@@ -98,7 +98,7 @@ def trace_end(df: DataFrame, time: str = "time") -> Column:
 def uptime_capacity(
     df: DataFrame,
     keys: str | Sequence[str],
-    end: Column,
+    end: Column | None = None,
     time: str = "time",
     event: str = "event_type",
     weight: str = "cpus",
@@ -107,11 +107,19 @@ def uptime_capacity(
 ) -> DataFrame:
     """Weight available from a key's first up event to ``end``, as ``(keys, available)``.
 
-    Later down times are not taken off. A key that never comes up has 0.
+    Later down times are not taken off. A key that never comes up has 0. Without an
+    ``end`` it is the last time of any row used here, taken from the grouped rows, so
+    that the source is read once.
     """
     keys = names(keys)
     first_up = F.min(F.when(F.col(event) == up, F.struct(time, weight)))
-    firsts = present(df, *keys, time, weight).groupBy(*keys).agg(first_up.alias("_first"))
+    firsts = (
+        present(df, *keys, time, weight)
+        .groupBy(*keys)
+        .agg(first_up.alias("_first"), F.max(time).alias("_last"))
+    )
+    if end is None:
+        end = firsts.agg(F.max("_last")).scalar()
     available = F.col(f"_first.{weight}") * (end - F.col(f"_first.{time}"))
     return firsts.select(*keys, F.coalesce(available, F.lit(0.0)).alias(name))
 

@@ -13,7 +13,6 @@ from clustertrace.operators import (
     gap_loss,
     latest_by_key,
     share_by,
-    trace_end,
     uptime_capacity,
 )
 from clustertrace.sources.schemas import MACHINE_KEY, REMOVE
@@ -39,9 +38,7 @@ def maintenance_loss_pct(
     """
     rows = present(machine_events, "cpus")
     lost = gap_loss(rows, MACHINE_KEY, widths=widths).agg(F.sum("lost").alias("lost"))
-    available = uptime_capacity(rows, MACHINE_KEY, trace_end(rows)).agg(
-        F.sum("available").alias("available")
-    )
+    available = uptime_capacity(rows, MACHINE_KEY).agg(F.sum("available").alias("available"))
     return available.select(pct(lost.scalar(), F.col("available")).alias("pct_lost"))
 
 
