@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from clustertrace.sources.schemas import (
     JOB_EVENTS,
@@ -69,13 +69,35 @@ def read_task_usage(spark, path, mode="FAILFAST", partitions=None) -> DataFrame:
     return read_trace(spark, path, TASK_USAGE, mode, partitions)
 
 
-def parse_lines(lines: DataFrame, line: str, schema: StructType, mode: str = "FAILFAST") -> DataFrame:
+def parse_lines(
+    lines: DataFrame,
+    line: str,
+    schema: StructType,
+    mode: str = "FAILFAST",
+    malformed: str | None = None,
+) -> DataFrame:
     """Parse a text column of trace lines, wherever the lines come from.
 
-    The rules are those of the file readers; blank lines are skipped.
+    The rules are those of the file readers. Blank lines, of white space of any
+    kind, are skipped as the readers do. ``malformed`` names a column that keeps the
+    text of each line that can't be parsed (too few or too many fields, a bad
+    number) and of each NULL line, as an empty text; it is NULL for sound lines.
+    Nothing raises then, and the other columns of such a line are NULL or what could
+    be read. Without it, NULL lines are skipped as well.
     """
     text = F.col(line)
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in file_schema(schema).fields)
-    parsed = F.from_csv(text, ddl, {**CSV_OPTIONS, "mode": mode})
-    rows = lines.where(F.trim(text) != "").select(parsed.alias("row")).select("row.*")
-    return _with_flags(rows, schema)
+    fields = file_schema(schema)
+    options = {**CSV_OPTIONS, "mode": mode}
+    if malformed is not None:
+        fields = fields.add(malformed, StringType())
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": malformed}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.fields)
+    # The CSV reader takes every character up to the space for blank.
+    sound = text.rlike(r"[^\x00-\x20]")
+    wanted = sound if malformed is None else sound | text.isNull()
+    rows = lines.where(wanted).select(text.alias("_line"), F.from_csv(text, ddl, options).alias("row"))
+    if malformed is None:
+        return _with_flags(rows.select("row.*"), schema)
+    bad = F.when(F.col("_line").isNull(), F.lit("")).otherwise(F.col(f"row.`{malformed}`"))
+    known = [F.col(f"row.`{f.name}`").alias(f.name) for f in file_schema(schema).fields]
+    return _with_flags(rows.select(*known, bad.alias(malformed)), schema)

@@ -38,6 +38,7 @@ def _table(*columns: tuple) -> StructType:
 _BIGINT, _INT, _DOUBLE = LongType(), IntegerType(), DoubleType()
 _STRING, _BOOLEAN = StringType(), BooleanType()
 
+# The fields of the four files, in the order in which they stand there.
 MACHINE_EVENTS = _table(
     ("time", _BIGINT, "required"),
     ("machine_id", _BIGINT, "required"),

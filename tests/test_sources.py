@@ -9,6 +9,7 @@ from clustertrace.sources import (
     JOB_EVENTS,
     MACHINE_EVENTS,
     TASK_EVENTS,
+    count_issues,
     parse_lines,
     read_job_events,
     read_machine_events,
@@ -137,3 +138,43 @@ def test_results_are_written_and_read_back(spark, tmp_path, fmt):
     assert sorted(tuple(r) for r in rows) == [(1, 10, 0.12, 1.0), (2, 100, 0.5, 2.0)]
     with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
         write_result(df, str(tmp_path / "out"), fmt)
+
+
+ODD_LINES = [
+    "1,,7,3,5,0,u,1,9,0.5,0.1,0.1,1",
+    "",
+    "   ",
+    "\t",
+    " \t ",
+    "2,,7,3,,1,u,,9,,,,",
+    "3,,7,3,5,0,u,1,9,x,0.1,0.1,1",
+    "4,,7,3,5,0,u,1,9",
+    "5,,7,3,5,0,u,1,9,0.5,0.1,0.1,1,8",
+    ",,7,3,5,0,u,1,9,0.5,0.1,0.1,0",
+]
+
+
+def test_lines_and_files_agree_on_odd_lines(spark, tmp_path):
+    path = put(tmp_path, "t.csv", ODD_LINES)
+    lines = spark.createDataFrame([(line,) for line in ODD_LINES], "line string")
+    kept = parse_lines(lines, "line", TASK_EVENTS, malformed="bad")
+    assert kept.columns == [*TASK_EVENTS.names, "bad"]
+    of_lines = {r["issue"]: r["n_rows"] for r in count_issues(kept, TASK_EVENTS, "bad").collect()}
+    of_files = {r["issue"]: r["n_rows"] for r in validate_trace(spark, path, TASK_EVENTS).collect()}
+    assert of_lines == of_files == {"malformed": 3, "missing time": 1} | {
+        f"missing {c}": 0 for c in ("job_id", "task_index", "event_type", "priority")
+    }
+    assert sorted(r["bad"] for r in kept.collect() if r["bad"] is not None) == sorted(ODD_LINES[6:9])
+    sound = [line for k, line in enumerate(ODD_LINES) if k not in (6, 7, 8)]
+    path = put(tmp_path, "sound.csv", sound)
+    frame = spark.createDataFrame([(line,) for line in sound], "line string")
+    assert sorted(map(str, parse_lines(frame, "line", TASK_EVENTS).collect())) == sorted(
+        map(str, read_task_events(spark, path).collect())
+    )
+
+
+def test_null_lines_are_counted(spark):
+    lines = spark.createDataFrame([(None,), (MACHINE_LINES[0],)], "line string")
+    assert parse_lines(lines, "line", MACHINE_EVENTS).count() == 1
+    kept = parse_lines(lines, "line", MACHINE_EVENTS, malformed="bad")
+    assert [r["n_rows"] for r in count_issues(kept, MACHINE_EVENTS, "bad").collect()] == [1, 0, 0, 0]
