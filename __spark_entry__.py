@@ -19,9 +19,12 @@ from pyspark.sql import functions as F  # noqa: E402
 from clustertrace import operators as op  # noqa: E402
 from clustertrace import plans  # noqa: E402
 from clustertrace.functions import cpu_delta, label, percent_text, present  # noqa: E402
+from clustertrace.operators.sliced import HOUR  # noqa: E402
 from clustertrace.sources import (  # noqa: E402
+    JOB_EVENTS,
     MACHINE_EVENTS,
     TASK_EVENTS,
+    TASK_USAGE,
     count_issues,
     mapped,
     parse_lines,
@@ -47,6 +50,7 @@ except ModuleNotFoundError as missing:
         raise
 
 PLACES = 8
+CELL = 0.0007071067811865476
 
 
 def _task_changes(task: DataFrame) -> DataFrame:
@@ -56,7 +60,10 @@ def _task_changes(task: DataFrame) -> DataFrame:
 
 def _over_limit(machine: DataFrame, task: DataFrame) -> DataFrame:
     # The plain operator: without a tie column the biggest limit of an instant counts.
-    return op.over_limit_fraction(_task_changes(task), machine, "machine_id", limit="cpus")
+    # Limits of a machine in the same thirty days are set at one instant here.
+    month = F.col("time") - F.pmod("time", F.lit(30 * 24 * HOUR))
+    limits = machine.withColumn("time", month)
+    return op.over_limit_fraction(_task_changes(task), limits, "machine_id", limit="cpus")
 
 
 def _units(value: Column) -> Column:
@@ -85,6 +92,11 @@ def _uptime(machine: DataFrame) -> DataFrame:
     return op.uptime_capacity(rows, MACHINE_KEY, op.trace_end(rows))
 
 
+def _trace_end(machine: DataFrame) -> DataFrame:
+    end = op.trace_end(present(machine, "cpus"))
+    return machine.sparkSession.range(1).select(end.alias("trace_end"))
+
+
 def _biggest_request(task: DataFrame) -> DataFrame:
     return op.max_with(present(task, "scheduling_class"), TASK_KEY, "cpu_request", "scheduling_class")
 
@@ -99,29 +111,91 @@ def _ratios(task: DataFrame, usage: DataFrame) -> DataFrame:
 
 
 def _task_grid(task: DataFrame, usage: DataFrame) -> DataFrame:
-    # Mean rates fall on cell borders; a small shift keeps rounding noise out of the counts.
-    points = plans.request_vs_usage(task, usage).withColumn("used", F.col("used") + 0.00001)
-    return op.density_grid(points, "requested", "used", 0.01, 0.001)
+    # No mean rate is a multiple of an irrational width, so none falls on a cell border.
+    return op.density_grid(plans.request_vs_usage(task, usage), "requested", "used", 0.01, CELL)
+
+
+def _line(fields: list) -> Column:
+    """Fields as a line of text with blanks around them: columns, their names, or None for no value."""
+    columns = [F.lit(None) if c is None else F.col(c) if isinstance(c, str) else c for c in fields]
+    texts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    return F.concat(F.lit(" "), F.concat_ws(" , ", *texts))
+
+
+def _as_lines(rows: DataFrame, fields: list) -> DataFrame:
+    return rows.select(_line(fields).alias("line"))
+
+
+def _sums(rows: DataFrame, by: str, *columns: str) -> DataFrame:
+    """Rows, known values and sums of whole numbers per group."""
+    return rows.groupBy(by).agg(
+        F.count("*").alias("n"),
+        *(F.count(c).alias(f"n_{c}") for c in columns),
+        *(F.sum(F.col(c).cast("bigint") % 1000003).alias(f"sum_{c}") for c in columns),
+    )
 
 
 def _lines(machine: DataFrame) -> DataFrame:
-    """Machine events as lines of text with blanks around the fields, then parsed back."""
-    fields = ["time", "machine_id", "event_type", F.lit("p"), "cpus", F.lit("")]
-    texts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in fields]
-    lines = machine.select(F.concat(F.lit(" "), F.concat_ws(" , ", *texts)).alias("line"))
-    return (
-        parse_lines(lines, "line", MACHINE_EVENTS)
-        .groupBy("event_type")
-        .agg(
-            F.count("*").alias("n"),
-            F.count("cpus").alias("n_cpus"),
-            F.sum(F.col("time") % 1000003).alias("time_sum"),
-            F.sum("machine_id").alias("machine_sum"),
-            F.sum("cpus").alias("cpus_sum"),
-        )
+    """Machine events as lines of text, then parsed back."""
+    fields = ["time", "machine_id", "event_type", F.lit("p"), "cpus", None]
+    rows = parse_lines(_as_lines(machine, fields), "line", MACHINE_EVENTS)
+    return rows.groupBy("event_type").agg(
+        F.count("*").alias("n"),
+        F.count("cpus").alias("n_cpus"),
+        F.sum(F.col("time") % 1000003).alias("time_sum"),
+        F.sum("machine_id").alias("machine_sum"),
+        F.sum("cpus").alias("cpus_sum"),
     )
 
 
+def _job_lines(job: DataFrame) -> DataFrame:
+    fields = ["time", None, "job_id", "event_type", F.lit("u"), "scheduling_class", F.lit('"n'), None]
+    rows = parse_lines(_as_lines(job, fields), "line", JOB_EVENTS)
+    quoted = rows.where(F.col("job_name") == '"n')
+    return _sums(quoted, "event_type", "time", "job_id", "scheduling_class")
+
+
+def _different(key: str) -> Column:
+    """A flag with all its values: 0, 1 and none."""
+    return F.when(F.col(key) % 3 < 2, F.col(key) % 3)
+
+
+def _task_line() -> Column:
+    fields = ["time", None, "job_id", "task_index", "machine_id", "event_type", None]
+    fields += ["scheduling_class", "priority", "cpu_request", None, None, _different("job_id")]
+    return _line(fields)
+
+
+def _task_lines(task: DataFrame) -> DataFrame:
+    rows = parse_lines(task.select(_task_line().alias("line")), "line", TASK_EVENTS)
+    rows = rows.withColumn("flag", F.col("different_machines").cast("int"))
+    return _sums(rows, "event_type", "time", "job_id", "task_index", "machine_id", "scheduling_class", "priority", "flag")
+
+
+def _usage_lines(usage: DataFrame) -> DataFrame:
+    fields = ["start_time", "end_time", "job_id", "task_index", "machine_id", "cpu_rate", *[None] * 12]
+    rows = parse_lines(_as_lines(usage, [*fields, _different("task_index"), None]), "line", TASK_USAGE)
+    rows = rows.withColumn("flag", F.col("aggregation_type").cast("int"))
+    return _sums(rows, "task_index", "start_time", "end_time", "job_id", "machine_id", "flag")
+
+
+def _broken_lines(task: DataFrame) -> DataFrame:
+    """Issues of task lines, some of which are broken by a rule on their job."""
+    job = F.col("job_id") % 7
+    broken = (
+        F.when(job == 0, F.concat("line", F.lit(",9")))
+        .when(job == 1, F.regexp_replace("line", " , [^,]*$", ""))
+        .when(job == 2, F.concat(F.lit("x"), "line"))
+        .when(job == 3, F.lit(None).cast("string"))
+        .when(job == 4, F.lit("\t "))
+        .when(job == 5, F.regexp_replace("line", "^[^,]*", " "))
+        .otherwise(F.col("line"))
+    )
+    whole = task.withColumn("line", _task_line())
+    rows = parse_lines(whole.select(broken.alias("line")), "line", TASK_EVENTS, malformed="bad")
+    return count_issues(rows, TASK_EVENTS, "bad")
+
+
 def _report(job: DataFrame, task: DataFrame) -> DataFrame:
     """Evicted or killed jobs and tasks as lines of a report."""
     hits = plans.evicted_or_killed(job, task)
@@ -171,10 +245,7 @@ PLANS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
     "gap_loss": ("machine", lambda m: op.gap_loss(m, MACHINE_KEY)),
     "uptime_capacity": ("machine", _uptime),
     "down_class": ("machine", lambda m: op.down_class(m, MACHINE_KEY)),
-    "trace_end": (
-        "machine",
-        lambda m: present(m, "cpus").agg(F.max("time").alias("trace_end")),
-    ),
+    "trace_end": ("machine", _trace_end),
     "latest_by_key": (
         "machine",
         lambda m: op.latest_by_key(present(m, "cpus"), MACHINE_KEY, ["time", "event_type"], "cpus"),
@@ -215,6 +286,10 @@ PLANS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
     "percent_text": ("job task", _report),
     "label": ("task usage", _labelled),
     "parse_lines": ("machine", _lines),
+    "parse_job_lines": ("job", _job_lines),
+    "parse_task_lines": ("task", _task_lines),
+    "parse_usage_lines": ("usage", _usage_lines),
+    "count_line_issues": ("task", _broken_lines),
 }
 
 _TABLES = {

@@ -107,25 +107,20 @@ _CLASSES = """
         FROM machine_events WHERE cpus IS NOT NULL),
     classes AS (SELECT machine_id, cpus FROM seen WHERE rn = 1)"""
 
+# Demand and capacity as decimals, which add up exactly.
 _CHANGES = """
     changes AS (
         SELECT machine_id, time,
-               CAST(round_even(CASE WHEN event_type = 1 THEN cpu_request ELSE -cpu_request END
-                               * CAST(1e10 AS DOUBLE), 0) AS BIGINT) AS delta
+               CAST(CASE WHEN event_type = 1 THEN cpu_request ELSE -cpu_request END
+                    AS DECIMAL(28, 10)) AS delta
         FROM task_events
         WHERE machine_id IS NOT NULL AND cpu_request IS NOT NULL AND event_type BETWEEN 1 AND 6)"""
 
-_OVERCOMMIT = f"""{_CHANGES},
-    capacities AS (
-        SELECT machine_id, time, CAST(round_even(cpus * CAST(1e10 AS DOUBLE), 0) AS BIGINT) AS cap
-        FROM machine_events WHERE cpus IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY machine_id, time
-                                   ORDER BY event_type DESC, cpus DESC) = 1),
-    initial AS (
-        SELECT machine_id, CAST(round_even(cpus * CAST(1e10 AS DOUBLE), 0) AS BIGINT) AS cap
-        FROM machine_events WHERE cpus IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY machine_id
-                                   ORDER BY time, event_type, cpus) = 1),
+
+def _over(capacities: str, initial: str) -> str:
+    return f"""{_CHANGES},
+    capacities AS ({capacities}),
+    initial AS ({initial}),
     shared AS (SELECT DISTINCT machine_id FROM capacities
                WHERE machine_id IN (SELECT machine_id FROM changes)),
     instants AS (
@@ -148,6 +143,28 @@ _OVERCOMMIT = f"""{_CHANGES},
                          / CAST(sum(dt) AS DOUBLE) END AS fraction
         FROM states GROUP BY machine_id)"""
 
+
+_OVERCOMMIT = _over(
+    """SELECT machine_id, time, CAST(cpus AS DECIMAL(28, 10)) AS cap
+       FROM machine_events WHERE cpus IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY machine_id, time
+                                  ORDER BY event_type DESC, cpus DESC) = 1""",
+    """SELECT machine_id, CAST(cpus AS DECIMAL(28, 10)) AS cap
+       FROM machine_events WHERE cpus IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY machine_id
+                                  ORDER BY time, event_type, cpus) = 1""",
+)
+
+# Capacities set at the start of thirty days: the smallest one holds before, the largest from there on.
+_MONTHLY = """
+    SELECT machine_id, time - time % 2592000000000 AS time,
+           CAST(min(cpus) AS DECIMAL(28, 10)) AS low, CAST(max(cpus) AS DECIMAL(28, 10)) AS cap
+    FROM machine_events WHERE cpus IS NOT NULL GROUP BY ALL"""
+_OVER_MONTHLY = _over(
+    f"SELECT machine_id, time, cap FROM ({_MONTHLY})",
+    f"SELECT machine_id, arg_min(low, time) AS cap FROM ({_MONTHLY}) GROUP BY machine_id",
+)
+
 _USED = """
     used AS (
         SELECT job_id, task_index, avg(cpu_rate) AS used
@@ -189,6 +206,13 @@ def _rate_pct(group: str, where: str = "TRUE") -> str:
     )
 
 
+def _field_sums(table: str, by: str, *columns: str, extra: str = "") -> str:
+    sums = ", ".join(
+        f"count({c}) AS n_{c}, CAST(sum({c} % 1000003) AS BIGINT) AS sum_{c}" for c in columns
+    )
+    return f"SELECT {by}, count(*) AS n, {sums} FROM (SELECT *{extra} FROM {table}) GROUP BY {by}"
+
+
 def _mandatory(*columns: str) -> str:
     return " UNION ALL ".join(
         f"SELECT 'missing {c}' AS issue, count(*) FILTER (WHERE {c} IS NULL) AS n_rows"
@@ -284,20 +308,20 @@ ORACLES: dict[str, str] = {
         WITH {_OVERCOMMIT.strip()}
         SELECT machine_id, round(fraction, 8) AS fraction FROM fractions"""),
     "over_limit_fraction": _sql("machine_events task_events", f"""
-        WITH {_OVERCOMMIT.strip()}
+        WITH {_OVER_MONTHLY.strip()}
         SELECT machine_id, round(fraction, 8) AS fraction FROM fractions"""),
     "cpu_delta": _sql("task_events", f"""
         WITH {_CHANGES.strip()}
         SELECT machine_id, count(*) AS n_changes,
-               CAST(sum(delta) AS BIGINT) AS net_e10
+               CAST(sum(delta) * 10000000000 AS BIGINT) AS net_e10
         FROM changes GROUP BY machine_id"""),
     "running_level": _sql("task_events", f"""
         WITH {_CHANGES.strip()},
         instants AS (SELECT machine_id, time, sum(delta) AS delta
                      FROM changes GROUP BY machine_id, time)
         SELECT machine_id, time,
-               CAST(sum(delta) OVER (PARTITION BY machine_id ORDER BY time
-                                     ROWS UNBOUNDED PRECEDING) AS BIGINT) AS level_e10
+               CAST(10000000000 * sum(delta) OVER (PARTITION BY machine_id ORDER BY time
+                                                   ROWS UNBOUNDED PRECEDING) AS BIGINT) AS level_e10
         FROM instants"""),
     "carry_forward": _sql("machine_events", """
         WITH filled AS (
@@ -369,7 +393,7 @@ ORACLES: dict[str, str] = {
     "density_grid": _sql("task_events task_usage", f"""
         WITH {_REQUESTED.strip()}, {_USED.strip()}
         SELECT CAST(floor(requested / CAST(0.01 AS DOUBLE)) AS BIGINT) AS xb,
-               CAST(floor((used + 0.00001) / CAST(0.001 AS DOUBLE)) AS BIGINT) AS yb,
+               CAST(floor(used / CAST(0.0007071067811865476 AS DOUBLE)) AS BIGINT) AS yb,
                count(*) AS n
         FROM requested JOIN used USING (job_id, task_index) GROUP BY xb, yb"""),
     "machine_density_grid": _sql("task_events task_usage", """
@@ -423,4 +447,19 @@ ORACLES: dict[str, str] = {
         FROM machine_events GROUP BY event_type""").replace(
             "sum(time % 1000003) AS time_sum", "CAST(sum(time % 1000003) AS BIGINT) AS time_sum"
         ).replace("sum(machine_id) AS machine_sum", "CAST(sum(machine_id) AS BIGINT) AS machine_sum"),
+    "parse_job_lines": _sql(
+        "job_events", _field_sums("job_events", "event_type", "time", "job_id", "scheduling_class")),
+    "parse_task_lines": _sql("task_events", _field_sums(
+        "task_events", "event_type", "time", "job_id", "task_index", "machine_id",
+        "scheduling_class", "priority", "flag",
+        extra=", CASE WHEN job_id % 3 < 2 THEN job_id % 3 END AS flag")),
+    "parse_usage_lines": _sql("task_usage", _field_sums(
+        "task_usage", "task_index", "start_time", "end_time", "job_id", "machine_id", "flag",
+        extra=", CASE WHEN task_index % 3 < 2 THEN task_index % 3 END AS flag")),
+    "count_line_issues": _sql("task_events", """
+        SELECT 'malformed' AS issue, count(*) FILTER (WHERE job_id % 7 < 4) AS n_rows FROM task_events
+        UNION ALL
+        SELECT 'missing ' || name, CASE name WHEN 'time' THEN n ELSE 0 END
+        FROM (SELECT count(*) FILTER (WHERE job_id % 7 = 5) AS n FROM task_events),
+             (VALUES ('time'), ('job_id'), ('task_index'), ('event_type'), ('priority')) AS t(name)"""),
 }
