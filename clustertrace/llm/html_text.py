@@ -220,8 +220,9 @@ def _subsequence(a: list[int], b: list[int], most_bits: int) -> np.ndarray:
 def shared_lines(own: list[int], sizes: list[int], others: list[tuple[str, list[int]]], path: str, alike: float) -> list[int]:
     """Positions of the open lines that a page shares with its nearest page.
 
-    The others are tried in the order of the path they have in common, then as given. One that shares
-    ``alike`` of the characters is taken for the same article and passed over.
+    ``sizes`` are the lines' lengths, negative in an article and 0 in chrome. The others are tried in
+    the order of the path they have in common, then as given. One that shares ``alike`` of the
+    characters outside chrome is taken for the same article and passed over.
     """
 
     def near(other: str) -> int:
@@ -280,7 +281,7 @@ def main_text(
             for source in batch.column(3).to_pylist():
                 lines = page_lines(source)
                 hashes.append([xxhash.xxh3_64_intdigest(t) - (1 << 63) for t, _ in lines])
-                sizes.append([len(t) if kind == OPEN else -len(t) for t, kind in lines])
+                sizes.append([{OPEN: 1, ARTICLE: -1, CHROME: 0}[kind] * len(t) for t, kind in lines])
             arrays = [*batch.columns[:3], pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["key", "host", "path", "lines", "sizes"])
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clustertrace.llm.shared import stored
-from clustertrace.llm.words import slices
+from clustertrace.llm.words import lower_latin, slices
 
 _BITS = 16
 _SPREAD = np.uint32(0x9E3779B1)
@@ -19,11 +19,7 @@ _SPREAD = np.uint32(0x9E3779B1)
 
 def letter_trigrams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Table rows of the byte trigrams of lower-cased letters, at most one space at either end, and their texts."""
-    low = data.astype(np.uint8)
-    low = np.where((low >= 65) & (low <= 90), low + 32, low)
-    if len(low) > 1:  # capital letters of the Latin-1 block, but not the multiplication sign
-        capital = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] <= 0x9E) & (low[1:] != 0x97)
-        low[1:][capital] += 32
+    low = lower_latin(data)
     low = np.where((low < 128) & ((low < 97) | (low > 122)), 32, low).astype(np.uint32)
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     if len(low) < 3:

@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clustertrace.llm.words import lower_ascii, slices, word_spans
+from clustertrace.llm.words import lower_latin, slices, word_hashes, word_spans
 
 #: Lengths of the byte n-grams, and the weights that hash them.
-GRAMS = (3, 4, 5)
+GRAMS = (3, 4, 5, 6)
 _STEP = np.uint32(0x01000193)
 _SPREAD = np.uint32(0x9E3779B1)
 #: So many zero vectors are averaged in, so that a segment of few n-grams needs more than one odd one.
@@ -21,10 +21,21 @@ PAD = 8
 
 
 class Subwords:
-    """The n-grams of words written ``<word>``, as rows of a table of ``2 ** bits`` entries."""
+    """The n-grams of words written ``<word>``, and the words, as rows of a table of ``2 ** bits`` entries.
+
+    Words are lower-cased, and ASCII marks at their ends are left off.
+    """
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, bits: int, segment: int) -> None:
+        data = lower_latin(data)
         begins, ends, text = word_spans(data, bounds)
+        low = data | 32
+        core = np.flatnonzero((data >= 128) | ((data >= 48) & (data <= 57)) | ((low >= 97) & (low <= 122)))
+        first, last = np.searchsorted(core, begins), np.searchsorted(core, ends) - 1
+        some = first <= last
+        text = text[some]
+        begins, ends = core[first[some]], core[last[some]] + 1
+        self.words = (word_hashes(data, begins, ends) >> np.uint64(64 - bits)).astype(np.uint32)
         lengths = ends - begins + 2
         self.starts = np.cumsum(lengths) - lengths  # of each word among the positions
         total = int(lengths.sum())
@@ -51,7 +62,7 @@ class Subwords:
         self.n_texts = n_texts
 
     def tables(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each length of n-gram the table row at every position and whether the n-gram ends in its word."""
+        """For each length of n-gram the table row at every position and whether there is one; words at last."""
         value = np.zeros(len(self.bytes), np.uint32)
         for k in range(max(GRAMS)):
             value = value * _STEP
@@ -59,6 +70,9 @@ class Subwords:
             if k + 1 in GRAMS:
                 rows = ((value ^ np.uint32(k)) * _SPREAD) >> np.uint32(32 - self.bits)
                 yield rows, self.left > k
+        rows, valid = np.zeros(len(self.bytes), np.uint32), np.zeros(len(self.bytes), bool)
+        rows[self.starts], valid[self.starts] = self.words, True
+        yield rows, valid
 
     def segment_scores(self, weights: np.ndarray) -> np.ndarray:
         """Mean weight of the n-grams of each segment."""
@@ -94,7 +108,7 @@ class Model:
         """Probability of the toxic class in a text's most toxic segment."""
         out = np.empty(len(texts))
         for first, data, bounds in slices(texts):
-            sub = Subwords(lower_ascii(data), bounds, self.bits, self.segment)
+            sub = Subwords(data, bounds, self.bits, self.segment)
             best = largest_of_texts(sub.segment_scores(self.weights), sub.segment_text, sub.n_texts)
             some = np.isfinite(best)
             logit = np.clip(np.where(some, best, 0) + self.bias, -500, 500)
@@ -127,7 +141,7 @@ def train(
     rng = np.random.default_rng(seed)
     parts = []
     for first, data, bounds in slices(texts):
-        sub = Subwords(lower_ascii(data), bounds, bits, segment)
+        sub = Subwords(data, bounds, bits, segment)
         rows = np.stack([r for r, _ in sub.tables()], 1).astype(np.int32)
         valid = np.stack([v for _, v in sub.tables()], 1)
         per = valid.sum(1)

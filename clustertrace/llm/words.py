@@ -37,6 +37,15 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
+def lower_latin(data: np.ndarray) -> np.ndarray:
+    """A-Z and the capital letters of the Latin-1 block lower-cased; all other bytes as they are."""
+    low = lower_ascii(data)
+    if len(low) > 1:  # the multiplication sign lies among the capitals
+        capital = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] <= 0x9E) & (low[1:] != 0x97)
+        low[1:][capital] += 32
+    return low
+
+
 def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of every word (bytes other than 0x20 and 0x09-0x0D) and the index of its text."""
     inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
