@@ -1,0 +1,39 @@
+import pytest
+
+LONG = " ".join(f"w{k % 977}x{k}" for k in range(30_000))
+
+#: NULLs in any column, empty and very long texts, ties and repeated rows.
+ODD = [
+    (1, "a b c d e f", "en", "s.de"),
+    (2, "a  b\tc\nd e f", "en", "s.de"),
+    (3, "", None, None),
+    (4, None, "de", "t"),
+    (5, LONG, "en", "s.de"),
+    (6, LONG + " tail", "en", "s.de"),
+    (7, "  \n\t ", "", ""),
+    (7, "  \n\t ", "", ""),
+    (None, "a b c d e f", "en", None),
+    (None, None, None, None),
+    (9, "x", "fr", "u"),
+    (10, "It's <|endoftext|> ÉÀ ß 日本語 🙂 \x00 %%%", "fr", "u"),
+    (11, "x", "fr", "u"),
+]
+SCHEMA = "doc_id bigint, text string, lang string, source string"
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Odd documents with extra columns whose names are those of the operators' own results."""
+    rows = [(*r, k, "n", True, 0.5, -1) for k, r in enumerate(ODD)]
+    extra = ", keep_id int, node string, kept boolean, score double, component int"
+    return spark.createDataFrame(rows, SCHEMA + extra).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def none(odd):
+    return odd.filter("doc_id = -5")
+
+
+@pytest.fixture(scope="session")
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
