@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clustertrace.llm.shared import stored
+from clustertrace.llm.shared import give_back, stored
 from clustertrace.llm.words import lower_latin, slices
 
 _BITS = 16
@@ -65,18 +66,19 @@ def fit_text(
     text_col: str = "text",
     declared_col: str = "lang",
     rows_per_language: int = 400,
-    max_bytes: int = 24_000_000,
+    max_bytes: int = 8_000_000,
     least_share: float = 0.001,
     smoothing: float = 0.2,
     saturation: float = 40.0,
 ) -> TextModel:
     """Trigram tables trained on a bounded sample, with the declared language as a label.
 
-    Languages are those that at least ``least_share`` of all rows declare, which bounds their number.
+    Languages are those that at least ``least_share`` of all rows declare, which bounds their number;
+    an empty declaration is none.
     The sample is the first ``rows_per_language`` rows of each in the order of a hash of the id, and
-    whole texts of ``max_bytes`` together.
+    whole texts of ``max_bytes`` together, none longer than an eighth of that.
     """
-    counts = docs.filter(F.col(f"`{declared_col}`").isNotNull()).groupBy(F.col(f"`{declared_col}`").alias("l")).count()
+    counts = docs.filter(F.col(f"`{declared_col}`") != "").groupBy(F.col(f"`{declared_col}`").alias("l")).count()
     total = docs.count()
     languages = sorted(r["l"] for r in counts.filter(F.col("count") >= F.lit(least_share * total)).collect())
     ids = docs.select(
@@ -96,12 +98,13 @@ def fit_text(
             F.col(f"`{text_col}`").cast("string").alias("text"),
         )
         rows = texts.join(F.broadcast(picked.drop("l").distinct()), "id")
+        rows = rows.filter(F.octet_length("text") <= max_bytes // 8)
         sizes = rows.select("order", F.octet_length("text").alias("n")).orderBy("order").toPandas()
         last = sizes["order"][sizes["n"].fillna(0).cumsum() <= max_bytes]
         if len(last):
             sample = rows.filter(F.col("order") <= F.lit(int(last.iloc[-1]))).select("l", "text").toArrow()
             for k, language in enumerate(languages):
-                own = sample.filter(pa.compute.equal(sample["l"], language))["text"].combine_chunks()
+                own = sample.filter(pc.equal(sample["l"], language))["text"].combine_chunks()
                 for _, data, bounds in slices(own):
                     found, _ = letter_trigrams(data, bounds)
                     table[k] += np.bincount(found, minlength=1 << _BITS)
@@ -155,6 +158,7 @@ def identify(
             arrays = [batch.column(0), batch.column(2), batch.column(3), *lists, pa.array(n > 0)]
             names = ["id", "declared", "host", "logs", "first", "has_text"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        give_back()
 
     rows = docs.select(
         F.col(f"`{id_col}`"),

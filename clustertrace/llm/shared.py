@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +44,15 @@ def put(frame: DataFrame, **columns: Column) -> DataFrame:
     names = {n.lower() for n in columns}
     kept = [F.col(f"`{c}`") for c in frame.columns if c.lower() not in names]
     return frame.select(*kept, *(c.alias(n) for n, c in columns.items()))
+
+
+def give_back() -> None:
+    """Hands memory that a finished task no longer needs back to the system.
+
+    Spark keeps Python workers for later tasks, and what they hold counts until they end.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another system's library
+        pass

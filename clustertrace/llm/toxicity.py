@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clustertrace.llm.shared import give_back
 from clustertrace.llm.words import lower_latin, slices, word_hashes, word_spans
 
 #: Lengths of the byte n-grams, and the weights that hash them.
@@ -142,14 +143,17 @@ def train(
     parts = []
     for first, data, bounds in slices(texts):
         sub = Subwords(data, bounds, bits, segment)
-        rows = np.stack([r for r, _ in sub.tables()], 1).astype(np.int32)
-        valid = np.stack([v for _, v in sub.tables()], 1)
+        tables = list(sub.tables())
+        rows = np.stack([r for r, _ in tables], 1).astype(np.int32)
+        valid = np.stack([v for _, v in tables], 1)
+        del tables
         per = valid.sum(1)
         counts = np.add.reduceat(per, sub.segment_starts) if len(sub.segment_starts) else np.empty(0, int)
         parts.append((rows[valid], counts, sub.segment_text + first))
     grams = np.concatenate([p[0] for p in parts])
     counts = np.concatenate([p[1] for p in parts])
     owner = np.concatenate([p[2] for p in parts])
+    del parts
     starts = np.cumsum(counts) - counts
     positive = toxic[owner]
 
@@ -229,12 +233,13 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     rows_per_class: int = 2000,
-    max_bytes: int = 48_000_000,
+    max_bytes: int = 8_000_000,
 ) -> Model:
     """A model trained on a bounded sample of labelled rows that are not held out.
 
     The sample is the first ``rows_per_class`` rows of each class in the order of a hash of the id,
-    and of them whole texts of ``max_bytes`` together. Of an id with several labels the largest counts.
+    and of them whole texts of ``max_bytes`` together, none longer than an eighth of that. Of an id
+    with several labels the largest counts.
     """
     usable = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("__label"))
     usable = usable.dropna().withColumn("__order", F.xxhash64("__id")).filter(~held_out("__id"))
@@ -244,7 +249,7 @@ def fit(
         part = usable.filter(F.col("__label") == label).orderBy("__order", "__id").limit(rows_per_class)
         picked = part if picked is None else picked.unionByName(part)
     rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text"))
-    rows = rows.join(F.broadcast(picked), "__id")
+    rows = rows.join(F.broadcast(picked), "__id").filter(F.octet_length("__text") <= max_bytes // 8)
     sizes = rows.select("__order", "__id", F.octet_length("__text").alias("n")).orderBy("__order", "__id").toPandas()
     taken = sizes[sizes["n"].cumsum() <= max_bytes]
     if not len(taken):
@@ -264,6 +269,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             scores = pa.array(model.scores(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), scores], names=["doc", "score"])
+        give_back()
 
     rows = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string"))
     return rows.mapInArrow(run, f"doc {kind}, score double").withColumnRenamed("doc", id_col)
@@ -276,5 +282,6 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", thresho
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(model.scores(batch.column(at)) < threshold))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -22,7 +22,7 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return every[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def slices(texts: pa.Array, at_once: int = 4_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, at_once: int = 1_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Runs of texts of about ``at_once`` bytes, or one longer text: index of the first, bytes, bounds."""
     data, bounds = utf8(texts)
     first = 0
