@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clustertrace.llm.shared import stored
+from clustertrace.llm.shared import give_back, stored
 
 #: Fixed values of the byte-level format: how texts are cut before merging.
 CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -55,7 +55,7 @@ class ByteLevelIds:
     between Unicode versions, go to the tokenizers library itself.
     """
 
-    def __init__(self, path: str, remember: int = 500_000) -> None:
+    def __init__(self, path: str, remember: int = 150_000) -> None:
         import tiktoken
         from tokenizers import Tokenizer
 
@@ -88,10 +88,13 @@ class ByteLevelIds:
         parts = text.split(" ") if _SPACE_AFTER_SPACE.search(text) is None else _SPACE_AFTER_WORD.split(text)
         return self.first[parts[0]] + b"".join(map(self.rest.__getitem__, parts[1:]))
 
+    def forget(self) -> None:
+        self.first.clear()
+        self.rest.clear()
+
     def ids(self, text: str) -> bytes:
         if len(self.rest) + len(self.first) > self.remember:
-            self.first.clear()
-            self.rest.clear()
+            self.forget()
         if self.special_re is None or self.special_re.search(text) is None:
             return self._part(text)
         parts = self.special_re.split(text)
@@ -186,6 +189,8 @@ def _pack_partition(path: str, size: int, n_open: int, end_id: int, fan_in: int)
                 yield rows(full, kind, None)
         if waiting:
             yield rows([p for pieces in waiting.values() for p in pieces], kind, task // fan_in)
+        encoder.forget()
+        give_back()
 
     return pack
 
