@@ -56,7 +56,9 @@ def components(links: DataFrame, one_task: int = 500_000) -> DataFrame:
     pairs = links.toDF("a", "b").select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).dropna()
     start = stored(pairs, "links")
     nodes = start.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    current = stored(start.filter("a <> b").mapInArrow(_local, "a bigint, b bigint"), "links")
+    current = start.filter("a <> b")
+    if start.count() > one_task:
+        current = stored(current.mapInArrow(_local, "a bigint, b bigint"), "links")
 
     def mark(frame: DataFrame) -> tuple:
         """A fingerprint of a set of links."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clustertrace.llm.components import components
-from clustertrace.llm.shared import stored
+from clustertrace.llm.shared import give_back, stored
 from clustertrace.llm.words import lower_ascii, mixed, shingles, slices, word_hashes, word_spans
 
 _COUNTER_BITS = 20
@@ -33,8 +33,8 @@ def node_of(shingle_set: np.ndarray) -> int:
 
 
 def signature(shingle_set: np.ndarray) -> bytes:
-    """A bitmap of at least two bits per member; a bit is set where an odd number of members fall."""
-    width = max(64, 1 << int(2 * len(shingle_set) - 1).bit_length())
+    """A bitmap of at least four bits per member; a bit is set where an odd number of members fall."""
+    width = max(64, 1 << int(4 * len(shingle_set) - 1).bit_length())
     at = (mixed(shingle_set) & np.uint64(width - 1)).astype(np.int64)
     return np.packbits(np.bincount(at, minlength=width).astype(np.uint8) & 1, bitorder="little").tobytes()
 
@@ -90,6 +90,7 @@ def _sets(size: int):
                 row = [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())]
                 row += [pa.array([part.tobytes()], pa.binary()), pa.array([k // _CHUNK], pa.int32())]
                 yield pa.RecordBatch.from_arrays(row, names=names)
+        give_back()
 
     return run
 
@@ -133,6 +134,7 @@ def _prefixes(size: int, percent: int, counters: np.ndarray):
                     tokens, nodes, sizes, counts, held = [], [], [], [], 0
             if held:
                 yield rows(tokens, nodes, sizes, counts)
+        give_back()
 
     return run
 
@@ -141,7 +143,7 @@ def _tiles(percent: int, tile: int):
     """Candidate pairs of sets that share a token, from rows sorted by token, size and node.
 
     The sets of a token that few share are paired where their sizes allow. Where more than ``tile``
-    share it, sizes are cut into bands, and each band is paired with its two first sets only, in the
+    share it, sizes are cut into bands, and each band is paired with its four first sets only, in the
     order of a hash; the rows themselves (marked by b = NULL) are given out for what is left.
     """
 
@@ -191,7 +193,7 @@ def _tiles(percent: int, tile: int):
                 while first < b:
                     last = a + int(np.searchsorted(n[a:b] * percent, 100 * n[first], "right"))
                     last = max(last, first + 1)
-                    hubs = first + np.argsort(order[first - a : last - a])[:2]
+                    hubs = first + np.argsort(order[first - a : last - a])[:4]
                     for hub in hubs:
                         others = np.setdiff1d(np.arange(first, last), hub)
                         if len(others):
@@ -266,8 +268,9 @@ def similar_documents(
     text_col: str = "text",
     size: int = 5,
     percent: int = 75,
-    tile: int = 64,
+    tile: int = 32,
     block: int = 2000,
+    best: int = 3,
 ) -> DataFrame:
     """Per document the id column, ``n_shingles`` and ``component_id``.
 
@@ -280,11 +283,12 @@ def similar_documents(
        fixed number tell which shingles are frequent.
     2. Two linked sets share one of their rarest shingles (the prefix). Sets meet in tiles by such a
        shingle and by bands of size. Tiles of at most ``tile`` sets give all pairs; in larger ones
-       every set is paired with two sets of its band.
+       every set is paired with four sets of its band.
     3. Bitmap signatures bound the overlap from above; sorted arrays settle what is left. Only sets
        of such pairs are read again and shuffled.
-    4. In larger tiles whose sets aren't connected yet, blocks of ``block`` sets compare signatures,
-       and pairs of different components are settled as in step 3.
+    4. In larger tiles whose sets aren't connected yet, blocks of ``block`` sets compare signatures.
+       Of a set's pairs with another component, first those with the ``best`` largest bounds are
+       settled as in step 3, as one link is enough; then all pairs of sets that are still apart.
 
     NULL and empty texts, and texts without words, have no shingles and link with nothing. Documents
     with equal ids are told apart by their sets. A document without an id links others, and its
@@ -315,7 +319,6 @@ def similar_documents(
 
     def settled(pairs: DataFrame) -> DataFrame:
         """The linked ones among pairs ``a``, ``b`` of different nodes."""
-        pairs = stored(pairs, "pairs")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         nodes = stored(nodes.join(per_node, "node"), "wanted")
         bitmap = _wanted(nodes.filter("id IS NOT NULL").select("id"))
@@ -333,6 +336,7 @@ def similar_documents(
                         found.append((node, own.tobytes()))
                 columns = [pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "members"])
+            give_back()
 
         hashed = texts.withColumn("at", F.pmod(F.xxhash64("id"), F.lit(1 << _WANTED_BITS)))
         members = hashed.mapInArrow(again, "node bigint, members binary")
@@ -352,19 +356,26 @@ def similar_documents(
         return both.mapInArrow(_bounded(percent), "a bigint, b bigint")
 
     candidates = tiles.filter("b IS NOT NULL").groupBy("a", "b").agg(F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b"))
-    links = stored(settled(bounded(candidates)), "links")
+    links = settled(stored(bounded(candidates), "pairs"))
+    found = stored(components(links), "components")
 
     hot = tiles.filter("b IS NULL").select("token", F.col("a").alias("node"), F.col("n_a").alias("n"))
-    if not hot.isEmpty():
-        so_far = stored(components(links), "components")
-        hot = stored(hot.join(so_far, "node", "left").withColumn("component", F.coalesce("component", "node")), "hot")
-        mixed_tiles = hot.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        mixed_tiles = stored(mixed_tiles.filter("x <> y").select("token"), "mixed")
-        if not mixed_tiles.isEmpty():
-            rest = hot.join(mixed_tiles, "token").join(bitmaps.dropDuplicates(["node"]).select("node", "bits"), "node")
-            links = stored(links.unionByName(settled(_rest(rest, percent, block))), "links")
+    for most in (best, None):
+        if hot.isEmpty():
+            break
+        now = hot.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        now = stored(now, "hot")
+        apart = now.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        apart = stored(apart.filter("x <> y").select("token"), "apart")
+        rest = now.join(apart, "token")
+        hot = rest.select("token", "node", "n")
+        tokens = rest.groupBy("node").agg(F.collect_list("token").alias("tokens"))
+        rest = rest.join(tokens, "node").join(bitmaps.dropDuplicates(["node"]).select("node", "bits"), "node")
+        more = stored(_rest(rest, percent, block, most), "pairs")
+        if not more.isEmpty():
+            known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            found = stored(components(known.unionByName(settled(more))), "components")
 
-    found = stored(components(links), "components")
     labelled = stored(
         rows.join(found, "node", "left").select("id", "n", F.coalesce("component", "node").alias("component")),
         "labelled",
@@ -379,15 +390,18 @@ def similar_documents(
     )
 
 
-def _rest(rows: DataFrame, percent: int, block: int) -> DataFrame:
+def _rest(rows: DataFrame, percent: int, block: int, best: int | None) -> DataFrame:
     """Pairs of different components within large tiles whose signatures leave room for a link.
 
+    With ``best``, only so many of a set with each other component in a block, by the largest bound.
+
     Sizes are cut into bands as wide as a link may span, so a set meets its own and the next band.
-    A band of a tile is cut into blocks, and each pair of blocks is one group.
+    A band of a tile is cut into blocks, and each pair of blocks is one group. Sets that meet in
+    several tiles are paired in the one with the smallest token.
     """
     ratio = float(np.log(100 / percent)) if percent < 100 else 1e-9
     band = F.floor(F.log(F.col("n").cast("double")) / ratio + 1e-9).cast("bigint")
-    rows = rows.select("token", "node", "n", "component", "bits", band.alias("band"))
+    rows = rows.select("token", "node", "n", "component", "bits", "tokens", band.alias("band"))
     upper = rows.withColumn("low", F.lit(False))
     meet = upper.unionByName(rows.withColumn("band", F.col("band") + 1).withColumn("low", F.lit(True)))
     counts = rows.groupBy("token", "band").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
@@ -412,6 +426,8 @@ def _rest(rows: DataFrame, percent: int, block: int) -> DataFrame:
             return np.stack(parts).view(np.uint64) if parts else np.empty((0, width // 8), np.uint64)
 
         x_bits, y_bits = bits(left), bits(right)
+        x_tokens, y_tokens = (list(map(set, t["tokens"].to_pylist())) for t in (left, right))
+        token = table["token"][0].as_py()
         for k in range(len(x_node)):
             fit = (y_comp != x_comp[k]) & (100 * np.minimum(y_n, x_n[k]) >= percent * np.maximum(y_n, x_n[k]))
             if not x_low[k]:
@@ -421,7 +437,16 @@ def _rest(rows: DataFrame, percent: int, block: int) -> DataFrame:
                 continue
             differing = np.bitwise_count(y_bits[at] ^ x_bits[k]).sum(1)
             most = (y_n[at] + x_n[k] - differing.astype(np.int64)) // 2
-            at = at[(100 + percent) * most >= percent * (y_n[at] + x_n[k])]
+            room = (100 + percent) * most - percent * (y_n[at] + x_n[k])
+            here = room >= 0
+            here[here] = [min(x_tokens[k] & y_tokens[i]) == token for i in at[here].tolist()]
+            at, room = at[here], room[here]
+            if best is not None and len(at):
+                order = np.lexsort((y_node[at], -room, y_comp[at]))
+                comp = y_comp[at][order]
+                heads = np.flatnonzero(np.append(True, comp[1:] != comp[:-1]))
+                within = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order))))
+                at = at[order[within < best]]
             a += [x_node[k]] * len(at)
             b += y_node[at].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
