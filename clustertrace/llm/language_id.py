@@ -67,48 +67,57 @@ def fit_text(
     declared_col: str = "lang",
     rows_per_language: int = 400,
     max_bytes: int = 8_000_000,
-    least_share: float = 0.001,
     smoothing: float = 0.2,
     saturation: float = 40.0,
 ) -> TextModel:
     """Trigram tables trained on a bounded sample, with the declared language as a label.
 
-    Languages are those that at least ``least_share`` of all rows declare, which bounds their number;
-    an empty declaration is none.
-    The sample is the first ``rows_per_language`` rows of each in the order of a hash of the id, and
-    whole texts of ``max_bytes`` together, none longer than an eighth of that.
+    Every language that a row with letters in its text declares is one, however few rows do; each takes
+    256 KB. An empty declaration is none.
+    The sample is the first ``rows_per_language`` different rows of each in the order of a hash of id and
+    text; the languages take turns until ``max_bytes`` are reached. Of a long text, what follows its first
+    letters is used, up to an eighth of that, or to an equal share where there are more languages.
     """
-    counts = docs.filter(F.col(f"`{declared_col}`") != "").groupBy(F.col(f"`{declared_col}`").alias("l")).count()
-    total = docs.count()
-    languages = sorted(r["l"] for r in counts.filter(F.col("count") >= F.lit(least_share * total)).collect())
-    ids = docs.select(
-        F.col(f"`{id_col}`").alias("id"),
-        F.col(f"`{declared_col}`").alias("l"),
-        F.xxhash64(f"`{id_col}`").alias("order"),
+    spark = docs.sparkSession
+    at = F.regexp_instr("text", F.lit(r"[a-zA-Z]{2}|[^\x00-\x7f]"))
+    usable = (
+        docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{declared_col}`").alias("l"), F.col(f"`{text_col}`").cast("string").alias("text"))
+        .filter("l <> '' AND octet_length(text) >= 3")
+        .withColumn("order", F.shiftrightunsigned(F.xxhash64("id", "text"), 1))
+        .withColumn("digits", F.length(F.bin("order")))
+        .withColumn("at", at)
+        .filter("at > 0")
     )
-    picked = None
-    for language in languages:
-        part = ids.filter(F.col("l") == language).orderBy("order", "id").limit(rows_per_language)
-        picked = part if picked is None else picked.unionByName(part)
+    # The number of rows doubles with each binary digit of the hash, so few rows lie below a language's limit.
+    by_digits: dict[str, list[tuple[int, int]]] = {}
+    for r in usable.groupBy("l", "digits").count().collect():
+        by_digits.setdefault(r["l"], []).append((r["digits"], r["count"]))
+    languages = sorted(by_digits)
     table = np.zeros((len(languages), 1 << _BITS), np.float32)
-    if picked is not None:
-        texts = docs.select(
-            F.col(f"`{id_col}`").alias("id"),
-            F.col(f"`{declared_col}`").alias("l"),
-            F.col(f"`{text_col}`").cast("string").alias("text"),
-        )
-        rows = texts.join(F.broadcast(picked.drop("l").distinct()), "id")
-        rows = rows.filter(F.octet_length("text") <= max_bytes // 8)
-        sizes = rows.select("order", F.octet_length("text").alias("n")).orderBy("order").toPandas()
-        last = sizes["order"][sizes["n"].fillna(0).cumsum() <= max_bytes]
-        if len(last):
-            sample = rows.filter(F.col("order") <= F.lit(int(last.iloc[-1]))).select("l", "text").toArrow()
-            for k, language in enumerate(languages):
-                own = sample.filter(pc.equal(sample["l"], language))["text"].combine_chunks()
-                for _, data, bounds in slices(own):
-                    found, _ = letter_trigrams(data, bounds)
-                    table[k] += np.bincount(found, minlength=1 << _BITS)
-    table += smoothing
+    if languages:
+        limits = []
+        for language in languages:
+            digits, counts = zip(*sorted(by_digits[language]), strict=True)
+            enough = int(np.searchsorted(np.cumsum(counts), rows_per_language))
+            limits.append((language, digits[min(enough, len(digits) - 1)]))
+        longest = max(3, max_bytes // max(8, len(languages)))
+        begin = F.substr("text", F.greatest(F.col("at") - 1, F.lit(1)), F.lit(longest))
+        near = usable.join(F.broadcast(spark.createDataFrame(limits, "l string, most int")), "l").filter("digits <= most")
+        near = near.select("l", "order", F.substring(begin.cast("binary"), 1, longest).cast("string").alias("text"))
+        near = stored(near.dropDuplicates(["l", "order"]), "language-sample")
+        sizes = near.select("l", "order", F.octet_length("text").alias("n")).toPandas().sort_values(["l", "order"])
+        sizes["turn"] = sizes.groupby("l").cumcount()
+        sizes = sizes[sizes["turn"] < rows_per_language].sort_values(["turn", "order", "l"])
+        last = sizes[sizes["n"].cumsum() <= max_bytes].groupby("l")["order"].max()
+        ends = spark.createDataFrame([(k, int(x)) for k, x in last.items()], "l string, last bigint")
+        sample = near.join(F.broadcast(ends), "l").filter(F.col("order") <= F.col("last")).select("l", "text").toArrow()
+        for k, language in enumerate(languages):
+            own = sample.filter(pc.equal(sample["l"], language))["text"].combine_chunks()
+            for _, data, bounds in slices(own):
+                found, _ = letter_trigrams(data, bounds)
+                table[k] += np.bincount(found, minlength=1 << _BITS)
+    # A table of few trigrams would be nearly flat, and noise as likely in it as in none of the languages.
+    table += smoothing * np.minimum(table.sum(1, keepdims=True) / (1 << _BITS), 1)
     return TextModel(languages, np.log(table / table.sum(1, keepdims=True)).astype(np.float32), saturation)
 
 
@@ -176,10 +185,12 @@ def identify(
     def total(column: str) -> Column:
         return F.aggregate(column, F.lit(0.0), lambda a, x: a + x)
 
+    # Arrays are zipped, as what a lambda refers to is evaluated anew for each entry.
     def smoothed(own: str, wider: str) -> Column:
+        n = F.array_repeat(total(own), n_classes)
         return F.transform(
-            F.arrays_zip(F.col(own).alias("a"), F.col(wider).alias("b")),
-            lambda x: (x["a"] + prior_weight * x["b"]) / (total(own) + prior_weight),
+            F.arrays_zip(F.col(own).alias("a"), F.col(wider).alias("b"), n.alias("n")),
+            lambda x: (x["a"] + prior_weight * x["b"]) / (x["n"] + prior_weight),
         )
 
     hosts = stored(sums(first, "host").withColumn("suffix", host_suffix(F.col("host"))), "language-hosts")
@@ -199,15 +210,17 @@ def identify(
     names = [*model.languages, ""]
     tally = np.stack([said.get(d, np.zeros(n_classes)) for d in names]) + 0.5
     tally = np.log(tally / tally.sum(0, keepdims=True))
-    declared_logs = F.create_map(*(x for d, row in zip(names, tally, strict=True) for x in (F.lit(d), F.array(*map(F.lit, row.tolist())))))
+    said_logs = [(d, row.tolist()) for d, row in zip(names, tally, strict=True)]
+    declared_logs = docs.sparkSession.createDataFrame(said_logs, "known string, said array<double>")
 
     own = F.transform("sums", lambda x, k: x - F.when(F.col("has_text"), F.col("first")[k]).otherwise(0.0))
     fused = (
-        first.join(priors, "host")
+        first.withColumn("known", known)
+        .join(F.broadcast(declared_logs), "known")
+        .join(priors, "host")
         .withColumn("sums", F.transform(own, lambda x: F.greatest(x, F.lit(0.0))))
         .withColumn("prior", smoothed("sums", "suffix_prior"))
-        .withColumn("said", declared_logs[known])
-        .withColumn("logs", F.transform("logs", lambda x, k: x + F.log(F.col("prior")[k]) + F.col("said")[k]))
+        .withColumn("logs", F.transform(F.arrays_zip("logs", "prior", "said"), lambda x: x["logs"] + F.log(x["prior"]) + x["said"]))
         .withColumn("top", F.array_max("logs"))
         .withColumn("k", F.array_position("logs", F.col("top")).cast("int") - 1)
         .withColumn("probability", 1 / F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))

@@ -42,6 +42,37 @@ def test_noise_is_rejected(spark, documents):
     assert row["language"] is None and not row["kept"]
 
 
+def test_rare_languages_are_identified(spark):
+    """Languages declared by one to three rows of 4,000, in ids that are NULL or repeated and in one long text."""
+    rng = np.random.default_rng(2)
+
+    def words(letters):
+        return ["".join(rng.choice(list(letters), rng.integers(2, 7))) for _ in range(60)]
+
+    first, second, third, fourth, fifth = map(words, ("abcde", "fghij", "klmno", "pqrst", "uvwxy"))
+    common = [first, second]
+    rows = [(k, " ".join(rng.choice(common[k % 2], 30)), ["aa", "bb"][k % 2], "s") for k in range(4000)]
+    rows += [(5000 + k, " ".join(rng.choice(third, 30)), "cc", "s") for k in range(3)]
+    rows += [(None, " ".join(rng.choice(fourth, 30)), "dd", "s"), (6000, " ".join(rng.choice(fifth, 300_000)), "ee", "s")]
+    rows += [(8007, "123 ...", "ff", "s"), (8008, None, "gg", "s"), (8009, "abc abd", "", "s")]
+    junk = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 8)) for _ in range(60)]
+    rows += [(7000 + k, " ".join(junk), "aa", "s") for k in range(2)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(4)
+    assert fit_text(frame).languages == ["aa", "bb", "cc", "dd", "ee"]
+    got = {r["doc_id"]: r for r in identify(frame).collect()}
+    wanted = {5000: "cc", 5001: "cc", 5002: "cc", None: "dd", 6000: "ee", 8007: None, 8008: None, 7000: None, 7001: None}
+    wanted |= {k: ["aa", "bb"][k % 2] for k in range(4000)}
+    assert {k: got[k]["language"] for k in wanted} == wanted
+    assert all(got[k]["kept"] == (v is not None) for k, v in wanted.items())
+
+
+def test_each_language_has_a_part_of_a_small_sample(spark):
+    rows = [(k, f"{chr(97 + k % 12)}bc " * 50, f"l{k % 12:02}", "s") for k in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    model = fit_text(frame, max_bytes=200)
+    assert len(model.languages) == 12 and (model.table.max(1) > model.table.min(1)).all()
+
+
 def test_evidence_settles_what_text_leaves_open(spark):
     """Two languages with equal tables: declaration, host and suffix decide."""
     table = np.log(np.full((2, 1 << 16), 1 / (1 << 15), np.float32))
