@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clustertrace.llm.components import components
@@ -287,8 +287,9 @@ def similar_documents(
     3. Bitmap signatures bound the overlap from above; sorted arrays settle what is left. Only sets
        of such pairs are read again and shuffled.
     4. In larger tiles whose sets aren't connected yet, blocks of ``block`` sets compare signatures.
-       Of a set's pairs with another component, first those with the ``best`` largest bounds are
-       settled as in step 3, as one link is enough; then all pairs of sets that are still apart.
+       The sets outside a tile's largest component are compared with all of the tile. Of a set's
+       pairs with another component, first those with the ``best`` largest bounds are settled as in
+       step 3, as one link is enough; then all pairs of sets that are still apart.
 
     NULL and empty texts, and texts without words, have no shingles and link with nothing. Documents
     with equal ids are told apart by their sets. A document without an id links others, and its
@@ -365,8 +366,10 @@ def similar_documents(
             break
         now = hot.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         now = stored(now, "hot")
-        apart = now.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        apart = stored(apart.filter("x <> y").select("token"), "apart")
+        parts = now.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
+        largest = F.max(F.struct("k", "component"))["component"].alias("largest")
+        apart = parts.groupBy("token").agg(largest, F.count(F.lit(1)).alias("parts"))
+        apart = stored(apart.filter("parts > 1").select("token", "largest"), "apart")
         rest = now.join(apart, "token")
         hot = rest.select("token", "node", "n")
         tokens = rest.groupBy("node").agg(F.collect_list("token").alias("tokens"))
@@ -395,21 +398,37 @@ def _rest(rows: DataFrame, percent: int, block: int, best: int | None) -> DataFr
 
     With ``best``, only so many of a set with each other component in a block, by the largest bound.
 
-    Sizes are cut into bands as wide as a link may span, so a set meets its own and the next band.
-    A band of a tile is cut into blocks, and each pair of blocks is one group. Sets that meet in
-    several tiles are paired in the one with the smallest token.
+    Sizes are cut into bands as wide as a link may span, so a set (left) outside the tile's largest
+    component meets the sets (right) of its own band and, a step away, of the next and the last one.
+    Either side is cut into blocks of its own, and each pair of blocks is one group, so a group has
+    about ``block`` sets from each side at most. Sets that meet in several tiles are paired in the one
+    with the smallest token.
     """
     ratio = float(np.log(100 / percent)) if percent < 100 else 1e-9
     band = F.floor(F.log(F.col("n").cast("double")) / ratio + 1e-9).cast("bigint")
-    rows = rows.select("token", "node", "n", "component", "bits", "tokens", band.alias("band"))
-    upper = rows.withColumn("low", F.lit(False))
-    meet = upper.unionByName(rows.withColumn("band", F.col("band") + 1).withColumn("low", F.lit(True)))
-    counts = rows.groupBy("token", "band").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    meet = meet.join(stored(counts, "blocks"), ["token", "band"])
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    as_left = meet.withColumn("i", own).withColumn("j", F.explode(every)).withColumn("left", F.lit(True))
-    as_right = meet.filter("NOT low").withColumn("j", own).withColumn("i", F.explode(every)).withColumn("left", F.lit(False))
+    inner = (F.col("component") == F.col("largest")).alias("inner")
+    rows = rows.select("token", "node", "n", "component", "bits", "tokens", inner, band.alias("band"))
+    steps = F.explode(F.array(*map(F.lit, (-1, 0, 1))))
+    counts = rows.groupBy("token", "band").agg(F.count(F.lit(1)).alias("k"), F.count_if("inner").alias("k_inner"))
+    counts = stored(counts, "bands")
+    sides = counts.filter("k > k_inner").select("token", "band", F.ceil((F.col("k") - F.col("k_inner")) / block).cast("int").alias("lefts"))
+    sides = sides.withColumn("step", steps).withColumn("band", F.col("band") + F.col("step")).join(counts, ["token", "band"])
+    # Of two sets outside the largest component, the smaller one finds the larger one a band above.
+    met = F.when(F.col("step") < 0, F.col("k_inner")).otherwise(F.col("k"))
+    sides = sides.withColumn("rights", F.ceil(met / block).cast("int")).filter("rights > 0")
+    sides = stored(sides.select("token", "band", "step", "lefts", "rights"), "blocks")
+
+    def blocks_of(number: str, other: str) -> tuple[Column, Column]:
+        """A set's own block, and all blocks of the other side."""
+        return F.pmod(F.xxhash64("node"), F.col(number)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+
+    keys = ["token", "band", "step"]
+    as_left = rows.filter("NOT inner").withColumn("step", steps).withColumn("band", F.col("band") + F.col("step"))
+    own, every = blocks_of("lefts", "rights")
+    as_left = as_left.join(sides, keys).withColumn("i", own).withColumn("j", every).withColumn("left", F.lit(True))
+    as_right = rows.withColumn("step", steps).filter("step >= 0 OR inner")
+    own, every = blocks_of("rights", "lefts")
+    as_right = as_right.join(sides, keys).withColumn("j", own).withColumn("i", every).withColumn("left", F.lit(False))
     cells = as_left.unionByName(as_right.select(as_left.columns))
 
     def compare(table: pa.Table) -> pa.Table:
@@ -417,9 +436,9 @@ def _rest(rows: DataFrame, percent: int, block: int, best: int | None) -> DataFr
         left, right = table.filter(pa.array(mask)), table.filter(pa.array(~mask))
         a, b = [], []
         width = min((len(x) for x in table["bits"].to_pylist()), default=8)
-        columns = ["node", "n", "component", "low"]
-        x_node, x_n, x_comp, x_low = (left[c].to_numpy() for c in columns)
-        y_node, y_n, y_comp, _ = (right[c].to_numpy() for c in columns)
+        columns = ["node", "n", "component", "inner"]
+        x_node, x_n, x_comp, _ = (left[c].to_numpy() for c in columns)
+        y_node, y_n, y_comp, y_inner = (right[c].to_numpy() for c in columns)
 
         def bits(t: pa.Table) -> np.ndarray:
             parts = [folded(np.frombuffer(x, np.uint8), width) for x in t["bits"].to_pylist()]
@@ -427,11 +446,11 @@ def _rest(rows: DataFrame, percent: int, block: int, best: int | None) -> DataFr
 
         x_bits, y_bits = bits(left), bits(right)
         x_tokens, y_tokens = (list(map(set, t["tokens"].to_pylist())) for t in (left, right))
-        token = table["token"][0].as_py()
+        token, step = table["token"][0].as_py(), table["step"][0].as_py()
         for k in range(len(x_node)):
             fit = (y_comp != x_comp[k]) & (100 * np.minimum(y_n, x_n[k]) >= percent * np.maximum(y_n, x_n[k]))
-            if not x_low[k]:
-                fit &= y_node > x_node[k]
+            if not step:
+                fit &= y_inner | (y_node > x_node[k])
             at = np.flatnonzero(fit)
             if not len(at):
                 continue
@@ -451,5 +470,5 @@ def _rest(rows: DataFrame, percent: int, block: int, best: int | None) -> DataFr
             b += y_node[at].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    pairs = cells.groupBy("token", "band", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+    pairs = cells.groupBy(*keys, "i", "j").applyInArrow(compare, "a bigint, b bigint")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

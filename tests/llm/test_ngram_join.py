@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clustertrace.llm.components import components, forest
 from clustertrace.llm.ngram_join import may_link, signature, similar_documents
@@ -90,6 +91,33 @@ def test_no_link_is_lost(spark, options):
     assert got(frame, **options) == brute(rows, **rule)
 
 
+def one_above(spark, n):
+    """Near copies, and a text of the next band of sizes that shares their shingles and links with none."""
+    base = " ".join(f"b{k}" for k in range(40))
+    filler = " ".join(f"f{k}" for k in range(18))
+    rows = [(k, f"{base} own{k}") for k in range(n)]
+    rows += [(5000, f"{base} {filler}"), (5001, f"{base} {filler} more")]
+    rows += [(6000 + k, f"{base[-11:]} {filler} {k % 2}") for k in range(2 * n)]
+    return rows, spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+
+
+def test_groups_are_bounded_on_either_side(spark, monkeypatch):
+    """Many linked near copies and a larger text that is apart from them."""
+    rows, frame = one_above(spark, 300)
+    seen, group_by = [], type(frame).groupBy
+
+    def noted(self, *keys):
+        if {"i", "j"} <= {k for k in keys if isinstance(k, str)}:
+            sides = group_by(self, *keys).agg(F.count_if("left").alias("x"), F.count_if(~F.col("left")).alias("y"))
+            seen.extend((r["x"], r["y"]) for r in sides.collect())
+        return group_by(self, *keys)
+
+    monkeypatch.setattr(type(frame), "groupBy", noted)
+    assert got(frame, tile=4, block=20) == brute(rows)
+    assert sum(y for _, y in seen) >= 300
+    assert max(x for x, _ in seen) <= 60 and max(y for _, y in seen) <= 60
+
+
 def test_query(spark, sf_dir, documents):
     rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
     result = op7_ngram_join(spark, sf_dir)
