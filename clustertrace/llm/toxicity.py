@@ -127,9 +127,14 @@ def train(
     batch: int = 2048,
     rate: float = 0.5,
     seed: int = 7,
+    epoch_segments: int = 120_000,
+    clean_segments: int = 30_000,
 ) -> Model:
     """Embeddings of ``size`` numbers per n-gram and a softmax over their mean, by Adagrad.
 
+    An epoch uses at most ``epoch_segments`` segments, picked at random; from the third on, at most
+    ``clean_segments`` random ones of clean texts are among them, besides the worst of each text.
+
     The unit is a segment of ``segment`` words. Labels are of texts, so the first epochs take every
     segment of a toxic text as toxic, and the later ones only its highest-scoring segment; of the
     other texts, random segments and the highest-scoring ones are taken. Without both classes the
@@ -198,10 +203,10 @@ def train(
             order = np.lexsort((score, owner))
             tops = order[np.append(owner[order][1:] != owner[order][:-1], True)]
             chosen = np.repeat(tops[positive[tops]], 4)
-            clean = np.concatenate([tops[~positive[tops]], rng.choice(of_clean, min(len(of_clean), 30_000))])
+            clean = np.concatenate([tops[~positive[tops]], rng.choice(of_clean, min(len(of_clean), clean_segments))])
         pick = np.concatenate([chosen, clean])
         label = np.concatenate([np.ones(len(chosen), int), np.zeros(len(clean), int)])
-        order = rng.permutation(len(pick))[:120_000]
+        order = rng.permutation(len(pick))[:epoch_segments]
         for k in range(0, len(order), batch):
             step(pick[order[k : k + batch]], label[order[k : k + batch]])
 
@@ -234,12 +239,15 @@ def fit(
     label_col: str = "toxic",
     rows_per_class: int = 2000,
     max_bytes: int = 8_000_000,
+    epoch_segments: int = 120_000,
+    clean_segments: int = 30_000,
 ) -> Model:
     """A model trained on a bounded sample of labelled rows that are not held out.
 
     The sample is the first ``rows_per_class`` rows of each class in the order of a hash of the id,
     and of them whole texts of ``max_bytes`` together, none longer than an eighth of that. Of an id
-    with several labels the largest counts.
+    with several labels the largest counts. ``epoch_segments`` and ``clean_segments`` bound the
+    segments of an epoch, as in ``train``.
     """
     usable = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("__label"))
     usable = usable.dropna().withColumn("__order", F.xxhash64("__id")).filter(~held_out("__id"))
@@ -258,7 +266,8 @@ def fit(
     sample = rows.filter(F.col("__order") <= F.lit(last)).orderBy("__order", "__id", "__text").toArrow()
     sample = sample.combine_chunks()
     text = sample["__text"].combine_chunks() if len(sample) else pa.array([], pa.string())
-    return train(text, sample["__label"].to_numpy() == 1)
+    toxic = sample["__label"].to_numpy() == 1
+    return train(text, toxic, epoch_segments=epoch_segments, clean_segments=clean_segments)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clustertrace.llm.queries import op6_toxicity
-from clustertrace.llm.toxicity import Model, fit, score, train, without_toxic
+from clustertrace.llm.toxicity import Model, fit, held_out, score, train, without_toxic
 
 
 def test_held_out_accuracy(spark):
@@ -20,6 +20,29 @@ def test_held_out_accuracy(spark):
     assert right[held["toxic"] == 1].mean() > 0.8
 
 
+def test_long_clean_texts(spark):
+    """Varied clean texts of 20,000 and more words, made of held-out documents; README has the share rejected."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    model = fit(docs, labels)
+    clean = docs.join(labels.filter("toxic = 0"), "doc_id").filter(held_out("doc_id")).orderBy("doc_id")
+    texts, words = [[]], 0
+    for r in clean.select("text").collect():
+        texts[-1].append(r["text"])
+        words += len(r["text"].split())
+        if words >= 20_000:
+            texts, words = [*texts, []], 0
+    long = model.scores(pa.array([" ".join(x) for x in texts[:-1]]))
+    assert len(long) >= 10 and np.mean(long >= 0.5) <= 0.3
+
+
+def test_segments_of_an_epoch_are_parameters():
+    texts = pa.array([f"{'bad' if k % 2 else 'good'} word{k} and more of it " * 5 for k in range(40)])
+    toxic = np.arange(40) % 2 == 1
+    whole, few = (train(texts, toxic, epoch_segments=n, clean_segments=n).scores(texts) for n in (10**9, 8))
+    assert ((whole >= 0.5) == toxic).all() and not np.array_equal(whole, few)
+
+
 def test_unseen_misspellings():
     insults = ["moronic", "stupidity", "worthless", "disgusting"]
     rng = np.random.default_rng(3)
