@@ -17,6 +17,7 @@ from clustertrace.llm.language_id import identify
 from clustertrace.llm.ngram_join import similar_documents
 from clustertrace.llm.packing import pack
 from clustertrace.llm.shared import shared_dir
+from clustertrace.llm.spelling import letter_runs, spelling_variants
 from clustertrace.llm.toxicity import fit, held_out, score
 from clustertrace.llm.url_filter import judge_urls
 from clustertrace.llm.warc import read_archives, write_archives
@@ -99,6 +100,15 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = letter_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    h = F.crc32(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("run")))
+    runs = runs.withColumn("h", h).withColumn("at", (F.col("h") % F.length("run")).cast("int"))
+    # The contract takes a letter out of some runs.
+    less = F.expr("concat(substring(run, 1, at), substring(run, at + 2))")
+    return spelling_variants(runs.select(F.when(F.col("h") % 199 == 0, less).otherwise(F.col("run")).alias("word")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -110,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_warc": op9_warc,
     "op10_html_text": op10_html_text,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
@@ -147,4 +158,47 @@ ORACLES: dict[str, str] = {
         )
         SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM ranked WHERE k = 1
     """,
+    "op11_spelling_variants": r"""
+        WITH RECURSIVE crc_table AS (
+            SELECT list(v ORDER BY b) AS t
+            FROM (SELECT b, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS v
+                  FROM range(256) AS bytes (b))
+        ), runs AS (
+            SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{6,}')) AS run FROM documents)
+            GROUP BY ALL
+        ), coded AS (
+            SELECT run, k, flatten(list_transform(string_split(id || ':' || run, ''),
+                lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)) AS bytes
+            FROM runs
+        ), hashed AS (
+            SELECT run, k, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295) AS h
+            FROM coded, crc_table
+        ), words AS MATERIALIZED (
+            SELECT word, sum(k)::BIGINT AS n
+            FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed)
+            WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5
+        ), holes AS (
+            SELECT word, n, substr(word, 1, i) AS before, substr(word, i + 2) AS behind
+            FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+        ), near AS (
+            SELECT DISTINCT x.word AS word, y.word AS near, y.n AS n FROM holes x JOIN holes y USING (before, behind) WHERE x.word <> y.word
+            UNION
+            SELECT h.word, w.word, w.n FROM holes h JOIN words w ON w.word = h.before || h.behind
+            UNION
+            SELECT w.word, h.word, h.n FROM holes h JOIN words w ON w.word = h.before || h.behind
+        ), best AS (
+            SELECT word, count(*) AS n_near, arg_min(near, (-n, near)) AS form, max(n) AS form_n FROM near GROUP BY word
+        ), formed AS (
+            SELECT word, CASE WHEN form_n >= 5 * n THEN form END AS form, n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+            FROM words LEFT JOIN best USING (word)
+        ), chain AS (
+            SELECT word, word AS step FROM formed
+            UNION ALL
+            SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.step WHERE formed.form IS NOT NULL
+        )
+        SELECT formed.word, form, step AS root, n, n_near, form_n
+        FROM formed JOIN (SELECT chain.word, step FROM chain JOIN formed ON formed.word = step WHERE formed.form IS NULL) USING (word)
+    """,
 }
