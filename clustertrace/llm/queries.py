@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clustertrace.llm.bpe import encode_decode
+from clustertrace.llm.collocations import collocations
 from clustertrace.llm.embedding_dedup import near_duplicates
 from clustertrace.llm.exact_dedup import exact_duplicates
 from clustertrace.llm.html_text import main_text
@@ -109,6 +110,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(runs.select(F.when(F.col("h") % 199 == 0, less).otherwise(F.col("run")).alias("word")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_html_text": op10_html_text,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_collocations": op12_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -201,4 +207,42 @@ ORACLES: dict[str, str] = {
         SELECT formed.word, form, step AS root, n, n_near, form_n
         FROM formed JOIN (SELECT chain.word, step FROM chain JOIN formed ON formed.word = step WHERE formed.form IS NULL) USING (word)
     """,
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), split AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+        ), places AS (
+            SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM split
+        ), sized AS (
+            SELECT lang, words, i, unnest(range(1, 6)) AS k FROM places
+        ), f AS MATERIALIZED (
+            SELECT lang, words[i:i + k - 1] AS phrase, count(*) AS f FROM sized WHERE i + k - 1 <= len(words)
+            GROUP BY ALL HAVING count(*) >= 100
+        ), n AS (
+            SELECT lang, count(*) AS n FROM places GROUP BY lang
+        ), cuts AS (
+            SELECT lang, phrase, f AS a, unnest(range(1, len(phrase))) AS k FROM f WHERE len(phrase) > 1
+        ), scored AS (
+            SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts JOIN n ON n.lang = cuts.lang
+            JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.phrase[1:k]
+            JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.phrase[k + 1:]
+        ), weakest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), spans AS (
+            SELECT lang, phrase, f, unnest(range(1, len(phrase))) AS i FROM f WHERE len(phrase) > 2
+        ), inner_phrases AS (
+            SELECT lang, phrase, f, i, unnest(range(i + 1, len(phrase) + 1)) AS j FROM spans
+        ), covers AS (
+            SELECT lang, phrase[i:j] AS phrase, max(f) AS cover FROM inner_phrases WHERE j - i + 1 < len(phrase) GROUP BY ALL
+        ), kept AS (
+            SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, n, score
+            FROM weakest LEFT JOIN covers USING (lang, phrase) WHERE cover IS NULL OR 100 * cover < 100 * a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept QUALIFY rank <= 2000
+    """,
 }

@@ -1,0 +1,101 @@
+import random
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from clustertrace.llm import collocations as module
+from clustertrace.llm.collocations import collocations
+from clustertrace.llm.queries import ORACLES, op12_collocations
+
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, least=100, longest=5, top=2000):
+    f, n = {}, Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        own = f.setdefault(lang, Counter())
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (text or "").translate(LOW)):
+            words = re.findall("[^ \t]+", piece)
+            n[lang] += len(words)
+            for k in range(1, longest + 1):
+                own.update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, own in f.items():
+        found = {p: a for p, a in own.items() if len(p) > 1 and a >= least}
+        inside = {}
+        for p, a in found.items():
+            for i in range(len(p)):
+                for j in range(i + 1, len(p) + 1):
+                    if j - i < len(p):
+                        inside[p[i:j]] = max(inside.get(p[i:j], 0), a)
+        scored = []
+        for p, a in found.items():
+            if 100 * inside.get(p, 0) >= 100 * a:
+                continue
+            score, _, l, r = min((1000 * a * n[lang] // (own[p[:k]] * own[p[k:]]), k, own[p[:k]], own[p[k:]]) for k in range(1, len(p)))
+            scored.append((-score, -a, " ".join(p).encode(), l, r))
+        for rank, (s, a, p, l, r) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, l, r, n[lang], -s))
+    return sorted(out)
+
+
+def rows_of(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def random_docs(seed, n):
+    rnd = random.Random(seed)
+    words = ["The", "of", "à", "x\x00y", "\x85", "new", "york", "city", "a", "b b".split()[0], "日本", "it's"]
+    out = []
+    for _ in range(n):
+        parts = [rnd.choice(words) + rnd.choice([" ", " ", " ", "\t", "  ", ". ", ",", "\n", "!\r\n"]) for _ in range(rnd.randrange(60))]
+        out.append((rnd.choice(["en", "en", "EN", None, "und", ""]), "".join(parts)))
+    return [*out, ("en", None), (None, None), ("en", ""), ("fr", "one word"), ("en", "a a a a a a a a a a a")]
+
+
+@pytest.mark.parametrize("options", [{}, {"shard_tokens": 50}, {"group_entries": 8, "round_bits": 2}, {"longest": 2, "top": 3}])
+def test_random_texts(spark, options):
+    rows = random_docs(len(options), 90)
+    frame = spark.createDataFrame([(lang, text, 1, "n") for lang, text in rows], "lang string, text string, n int, phrase string").repartition(3)
+    own = {k: v for k, v in options.items() if k in ("longest", "top")}
+    assert rows_of(collocations(frame, least=4, **options)) == brute(rows, least=4, **own)
+
+
+def test_long_text_in_slices(spark, monkeypatch):
+    rnd = random.Random(9)
+    text = " ".join(rnd.choice(["aa", "bb", "cc.", "dd"]) for _ in range(2000)) + "x" * 900 + " aa bb " + "." * 300
+    data = text.encode().translate(module._PLAIN)
+    monkeypatch.setattr(module, "_AT_ONCE", 64)
+    parts = list(module._slices(data))
+    assert b"".join(parts) == data and len(parts) > 90
+    frame = spark.createDataFrame([("en", text)], "lang string, text string")
+    assert rows_of(collocations(frame, least=5, shard_tokens=100)) == brute([("en", text)], least=5)
+
+
+def test_counts_beyond_64_bits(spark):
+    """Products of the score pass 64 bits; the decimals are exact."""
+    big = 4_000_000_007
+    frame = spark.createDataFrame([(big, 9 * big, big + 1, big + 3)], "a bigint, n bigint, l bigint, r bigint")
+    text = "(1000 * CAST(a AS DECIMAL(16, 0)) * CAST(n AS DECIMAL(16, 0))) DIV (CAST(l AS DECIMAL(18, 0)) * CAST(r AS DECIMAL(18, 0)))"
+    assert frame.select(F.expr(text)).first()[0] == 1000 * big * 9 * big // ((big + 1) * (big + 3))
+
+
+def test_odd_rows(odd, none):
+    rows = [(r["lang"], r["text"]) for r in odd.collect()]
+    assert rows_of(collocations(odd, least=2)) == brute(rows, least=2)
+    assert collocations(none).collect() == []
+
+
+def test_documents(spark, documents, sf_dir):
+    result = op12_collocations(spark, sf_dir)
+    assert result.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    got = rows_of(result)
+    rows = [tuple(r) for r in documents.select("lang", "text").collect()]
+    assert got == brute(rows) and got
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    assert sorted(duck.execute(ORACLES["op12_collocations"]).fetchall()) == got
