@@ -13,6 +13,7 @@ from clustertrace.llm.bpe import encode_decode
 from clustertrace.llm.collocations import collocations
 from clustertrace.llm.embedding_dedup import near_duplicates
 from clustertrace.llm.exact_dedup import exact_duplicates
+from clustertrace.llm.fingerprint import edit_resistance
 from clustertrace.llm.html_text import main_text
 from clustertrace.llm.language_id import identify
 from clustertrace.llm.ngram_join import similar_documents
@@ -114,6 +115,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_resistance(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -127,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_text": op10_html_text,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_collocations": op12_collocations,
+    "op13_fingerprint": op13_fingerprint,
 }
 
 ORACLES: dict[str, str] = {
