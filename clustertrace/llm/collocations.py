@@ -20,7 +20,6 @@ _ENDS = b",;:!?\n\x0b\x0c\r"
 #: Lower-cases A-Z and makes every end of a piece a full stop.
 _PLAIN = bytes.maketrans(_UPPER + _ENDS, _UPPER.lower() + b"." * len(_ENDS))
 _AT_ONCE = 1 << 20
-_CODES = 1 << 16
 _CODED = "shard bigint, lang string, word string, code int, n bigint, codes binary, lead int"
 _FILTER = "shard bigint, k int, bucket bigint, filter binary"
 
@@ -66,15 +65,17 @@ class _Shard:
         self.codes.extend(map(self.words[lang].__getitem__, tokens))
 
     def rows(self, name: int) -> Iterator[pa.RecordBatch]:
-        """A row per word, then one with all codes and the largest: two bytes each, or four if that is too large."""
+        """A row per word, then one with all codes, their number and the largest."""
         codes = np.frombuffer(self.codes, np.uint32)
         n = np.bincount(codes[self.lead :], minlength=self.taken[0] + 1)
         for lang, own in self.words.items():
             words = [w for w in own if w != b"."]
             at = np.fromiter((own[w] for w in words), np.int32, len(words))
             yield _batch(name, len(words), lang, pa.array(words, pa.binary()).cast(pa.string()), at, n[at], None, None)
-        kind = "<u2" if self.taken[0] < _CODES else "<u4"
-        yield _batch(name, 1, None, None, [self.taken[0]], None, [codes.astype(kind).tobytes()], [self.lead])
+        # The upper bytes are mostly 0, as frequent words come early; so they are laid together.
+        planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+        stream = pa.compress(planes, codec="zstd", asbytes=True)
+        yield _batch(name, 1, None, None, [self.taken[0]], [len(codes)], [stream], [self.lead])
 
 
 def _batch(name: int, size: int, lang, words, codes, n, stream, lead) -> pa.RecordBatch:
@@ -103,7 +104,7 @@ def _coder(shard_tokens: int, context: int):
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
                 lang, tail = lang.as_py(), []
                 for data in _slices(text.as_buffer().to_pybytes().translate(_PLAIN)):
-                    if len(shard.codes) >= shard_tokens or shard.taken[0] >= _CODES - 1 - len(data) // 2 > 0:
+                    if len(shard.codes) >= shard_tokens:
                         yield from shard.rows(first + made)
                         made, shard = made + 1, _Shard()
                         shard.add(lang, tail)
@@ -124,10 +125,12 @@ def _counter(width: int, longest: int, bucket_bits: dict[int, int]):
 
     def count(key: tuple, streams: pa.Table, known: pa.Table) -> pa.Table:
         out: list[tuple] = []
-        for stream, top, lead in zip(streams["codes"], streams["top"].to_pylist(), streams["lead"].to_pylist(), strict=True):
+        for stream, top, n, lead in zip(streams["codes"], *(streams[c].to_pylist() for c in ("top", "n", "lead")), strict=True):
             ids = np.zeros(top + 1, np.uint64)
             ids[known["code"].to_numpy()] = known["id"].to_numpy()
-            at = ids[np.frombuffer(stream.as_buffer(), "<u2" if top < _CODES else "<u4")]
+            planes = np.frombuffer(pa.decompress(stream.as_buffer(), 4 * n, "zstd"), np.uint8)
+            at = ids[np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()]
+            del planes
             whole = at > 0
             for k in range(2, longest + 1):
                 if len(at) < k:
@@ -141,8 +144,7 @@ def _counter(width: int, longest: int, bucket_bits: dict[int, int]):
                 if not len(places):
                     break
                 bits = width * k
-                limbs = qf.permuted(qf.packed([at[places + j] for j in range(k)], width), bits)
-                keys, counts = qf.counted(limbs)
+                keys, counts = qf.counted(qf.permuted(qf.packed((at[places + j] for j in range(k)), k, width), bits))
                 out += [(key[0].as_py(), k, *part) for part in qf.split(keys, counts, bits, bucket_bits[k])]
         return _filters(out)
 
@@ -187,7 +189,7 @@ def phrase_filters(coded: DataFrame, dictionary: DataFrame, n_words: int, n_toke
         return {k: qf.bounded_bits(width * k, min(wanted, most)) for k in range(2, longest + 1)}
 
     words = coded.filter("word IS NOT NULL").join(dictionary, ["lang", "word"]).select("shard", "code", "id")
-    streams = coded.filter("codes IS NOT NULL").select("shard", "codes", "code", "lead").toDF("stream", "codes", "top", "lead")
+    streams = coded.filter("codes IS NOT NULL").select("shard", "codes", "code", "n", "lead").toDF("stream", "codes", "top", "n", "lead")
     grouped = streams.groupBy("stream").cogroup(words.groupBy("shard"))
     done = round_bits
     filters = grouped.applyInArrow(_counter(width, longest, bits_of(done)), _FILTER)
@@ -239,7 +241,7 @@ def collocations(
     least: int = 100,
     longest: int = 5,
     top: int = 2000,
-    shard_tokens: int = 1 << 20,
+    shard_tokens: int = 1 << 21,
     group_entries: int = 1 << 21,
     round_bits: int = 8,
 ) -> DataFrame:

@@ -9,6 +9,7 @@ first the leading 64 bits (or all, where there are fewer), then the next 64 and
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -77,11 +78,11 @@ def restored(limbs: Keys, bits: int) -> Keys:
     return limbs
 
 
-def packed(columns: list[np.ndarray], width: int) -> Keys:
-    """Numbers below ``2 ** width``, a column each, packed into keys of ``width * len(columns)`` bits."""
-    sizes = limb_bits(width * len(columns))
-    limbs = [np.zeros(len(columns[0]), np.uint64) for _ in sizes]
+def packed(columns: Iterable[np.ndarray], n_columns: int, width: int) -> Keys:
+    """Numbers below ``2 ** width``, a column each, packed into keys of ``width * n_columns`` bits."""
+    sizes, limbs = limb_bits(width * n_columns), []
     for c, column in enumerate(columns):
+        limbs = limbs or [np.zeros(len(column), np.uint64) for _ in sizes]
         _place(limbs, sizes, column.astype(np.uint64), c * width, width)
     return limbs
 

@@ -21,7 +21,7 @@ def test_round_trip(width, columns):
     rows = [rnd.integers(0, min(top, 40), 2000, np.uint64) for _ in range(columns)]
     rows[0][:9] = top - 1
     bits = width * columns
-    limbs = qf.packed(rows, width)
+    limbs = qf.packed(rows, columns, width)
     expected = [sum(int(r[i]) << width * (columns - 1 - c) for c, r in enumerate(rows)) for i in range(2000)]
     assert keys_of(limbs, bits) == expected
     mixed = qf.permuted(limbs, bits)
@@ -45,7 +45,7 @@ def test_permutation_is_one_to_one_and_spreads():
         n = 60_000
         rows = [np.arange(n) % 50 if c else np.arange(n) // 50 for c in range(columns)]
         bits = width * columns
-        buckets = np.bincount(qf.bucket_of(qf.permuted(qf.packed(rows, width), bits), bits, 4).astype(int))
+        buckets = np.bincount(qf.bucket_of(qf.permuted(qf.packed(rows, columns, width), bits), bits, 4).astype(int))
         assert len(buckets) == 16 and buckets.max() < 1.3 * n / 16
 
 
