@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,14 +28,20 @@ from clustertrace.sources import (  # noqa: E402
     TASK_USAGE,
     count_issues,
     mapped,
+    new_path,
     parse_lines,
+    read_job_events,
+    read_machine_events,
+    read_task_events,
+    read_task_usage,
     rounded,
+    validate_trace,
     with_log_count,
 )
 from clustertrace.sources.schemas import EVICT, MACHINE_KEY, SCHEDULE, TASK_KEY  # noqa: E402
 from oracle_queries import ORACLES  # noqa: E402
 
-# The training-data operators are an optional part; only their absence is passed over.
+# The training-data operators are an optional part.
 LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
 try:
@@ -47,7 +54,8 @@ try:
         LLM_ORACLES = {**LLM_ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
 except ModuleNotFoundError as missing:
     if missing.name not in ("corpus_pipeline", "clustertrace.llm", "clustertrace.llm.queries"):
-        raise
+        # A package that only they need isn't installed.
+        warnings.warn(f"the training-data queries are left out: {missing}", stacklevel=1)
 
 PLACES = 8
 CELL = 0.0007071067811865476
@@ -135,10 +143,30 @@ def _sums(rows: DataFrame, by: str, *columns: str) -> DataFrame:
     )
 
 
+def _written(lines: DataFrame, name: str, by: str | None = None, **options: str) -> str:
+    """Lines stored as trace files by Spark's own writer: a folder, with one inside per value of ``by``."""
+    path = new_path(lines.sparkSession, name)
+    writer = lines.write.options(**options)
+    (writer.partitionBy(by) if by else writer).text(path)
+    return path
+
+
+def _machine_text(machine: DataFrame) -> DataFrame:
+    return _as_lines(machine, ["time", "machine_id", "event_type", F.lit("p"), "cpus", None])
+
+
 def _lines(machine: DataFrame) -> DataFrame:
     """Machine events as lines of text, then parsed back."""
-    fields = ["time", "machine_id", "event_type", F.lit("p"), "cpus", None]
-    rows = parse_lines(_as_lines(machine, fields), "line", MACHINE_EVENTS)
+    return _machine_sums(parse_lines(_machine_text(machine), "line", MACHINE_EVENTS))
+
+
+def _machine_files(machine: DataFrame) -> DataFrame:
+    """Machine events written as files, then read back."""
+    path = _written(_machine_text(machine), "machine_events")
+    return _machine_sums(read_machine_events(machine.sparkSession, path))
+
+
+def _machine_sums(rows: DataFrame) -> DataFrame:
     return rows.groupBy("event_type").agg(
         F.count("*").alias("n"),
         F.count("cpus").alias("n_cpus"),
@@ -148,9 +176,19 @@ def _lines(machine: DataFrame) -> DataFrame:
     )
 
 
+def _job_text(job: DataFrame) -> DataFrame:
+    return _as_lines(job, ["time", None, "job_id", "event_type", F.lit("u"), "scheduling_class", F.lit('"n'), None])
+
+
 def _job_lines(job: DataFrame) -> DataFrame:
-    fields = ["time", None, "job_id", "event_type", F.lit("u"), "scheduling_class", F.lit('"n'), None]
-    rows = parse_lines(_as_lines(job, fields), "line", JOB_EVENTS)
+    return _job_sums(parse_lines(_job_text(job), "line", JOB_EVENTS))
+
+
+def _job_files(job: DataFrame) -> DataFrame:
+    return _job_sums(read_job_events(job.sparkSession, _written(_job_text(job), "job_events")))
+
+
+def _job_sums(rows: DataFrame) -> DataFrame:
     quoted = rows.where(F.col("job_name") == '"n')
     return _sums(quoted, "event_type", "time", "job_id", "scheduling_class")
 
@@ -167,14 +205,51 @@ def _task_line() -> Column:
 
 
 def _task_lines(task: DataFrame) -> DataFrame:
-    rows = parse_lines(task.select(_task_line().alias("line")), "line", TASK_EVENTS)
+    return _task_sums(parse_lines(task.select(_task_line().alias("line")), "line", TASK_EVENTS))
+
+
+def _task_files(task: DataFrame) -> DataFrame:
+    path = _written(task.select(_task_line().alias("line")), "task_events")
+    return _task_sums(read_task_events(task.sparkSession, path))
+
+
+def _task_sums(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("flag", F.col("different_machines").cast("int"))
     return _sums(rows, "event_type", "time", "job_id", "task_index", "machine_id", "scheduling_class", "priority", "flag")
 
 
-def _usage_lines(usage: DataFrame) -> DataFrame:
+def _task_parts(task: DataFrame) -> DataFrame:
+    """Task events in many folders and files, some read by a glob and the others by a list."""
+    spark, lines = task.sparkSession, task.select(_task_line().alias("line"), (F.col("job_id") % 5).alias("part"))
+    path = _written(lines, "task_parts", "part")
+    read = {"glob": f"{path}/part=[0-2]/part-*", "list": [f"{path}/part=3", f"{path}/part=4"]}
+    sums = [
+        _sums(read_task_events(spark, paths), "event_type", "time", "job_id", "machine_id", "priority").withColumn("way", F.lit(way))
+        for way, paths in read.items()
+    ]
+    return sums[0].unionByName(sums[1])
+
+
+def _usage_text(usage: DataFrame) -> DataFrame:
     fields = ["start_time", "end_time", "job_id", "task_index", "machine_id", "cpu_rate", *[None] * 12]
-    rows = parse_lines(_as_lines(usage, [*fields, _different("task_index"), None]), "line", TASK_USAGE)
+    return _as_lines(usage, [*fields, _different("task_index"), None])
+
+
+def _usage_lines(usage: DataFrame) -> DataFrame:
+    return _usage_sums(parse_lines(_usage_text(usage), "line", TASK_USAGE))
+
+
+def _usage_files(usage: DataFrame) -> DataFrame:
+    return _usage_sums(read_task_usage(usage.sparkSession, _written(_usage_text(usage), "task_usage")))
+
+
+def _usage_gzip(usage: DataFrame) -> DataFrame:
+    """Task usage in gzipped files, which can't be split, read and spread over more tasks."""
+    path = _written(_usage_text(usage), "task_usage_gzip", compression="gzip")
+    return _usage_sums(read_task_usage(usage.sparkSession, f"{path}/*.gz", partitions=16))
+
+
+def _usage_sums(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("flag", F.col("aggregation_type").cast("int"))
     return _sums(rows, "task_index", "start_time", "end_time", "job_id", "machine_id", "flag")
 
@@ -196,6 +271,22 @@ def _broken_lines(task: DataFrame) -> DataFrame:
     return count_issues(rows, TASK_EVENTS, "bad")
 
 
+def _broken_files(task: DataFrame) -> DataFrame:
+    """Issues of task files, some lines of which are broken by a rule on their job; blank lines are no rows."""
+    job = F.col("job_id") % 7
+    broken = (
+        F.when(job == 0, F.concat("line", F.lit(",9")))
+        .when(job == 1, F.regexp_replace("line", " , [^,]*$", ""))
+        .when(job == 2, F.concat(F.lit("x"), "line"))
+        .when(job == 3, F.concat("line", F.lit("x")))
+        .when(job == 4, F.lit("\t "))
+        .when(job == 5, F.regexp_replace("line", "^[^,]*", " "))
+        .otherwise(F.col("line"))
+    )
+    path = _written(task.withColumn("line", _task_line()).select(broken.alias("line")), "broken_events")
+    return validate_trace(task.sparkSession, path, TASK_EVENTS)
+
+
 def _report(job: DataFrame, task: DataFrame) -> DataFrame:
     """Evicted or killed jobs and tasks as lines of a report."""
     hits = plans.evicted_or_killed(job, task)
@@ -244,6 +335,7 @@ PLANS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
     ),
     "gap_loss": ("machine", lambda m: op.gap_loss(m, MACHINE_KEY)),
     "uptime_capacity": ("machine", _uptime),
+    "gap_loss_by_class": ("machine", lambda m: op.gap_loss_by_class(m, MACHINE_KEY)),
     "down_class": ("machine", lambda m: op.down_class(m, MACHINE_KEY)),
     "trace_end": ("machine", _trace_end),
     "latest_by_key": (
@@ -290,6 +382,14 @@ PLANS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
     "parse_task_lines": ("task", _task_lines),
     "parse_usage_lines": ("usage", _usage_lines),
     "count_line_issues": ("task", _broken_lines),
+    # Files that Spark wrote into the shared folder, read back.
+    "read_machine_events": ("machine", _machine_files),
+    "read_job_events": ("job", _job_files),
+    "read_task_events": ("task", _task_files),
+    "read_task_usage": ("usage", _usage_files),
+    "read_task_parts": ("task", _task_parts),
+    "read_gzip_usage": ("usage", _usage_gzip),
+    "validate_trace": ("task", _broken_files),
 }
 
 _TABLES = {

@@ -1,6 +1,6 @@
 """Reusable operators: DataFrame in, DataFrame out, column names as parameters."""
 
-from clustertrace.operators.gaps import down_class, gap_loss, trace_end, uptime_capacity
+from clustertrace.operators.gaps import down_class, gap_loss, gap_loss_by_class, trace_end, uptime_capacity
 from clustertrace.operators.latest import first_by_key, latest_by_key, max_with
 from clustertrace.operators.profile import density_grid, max_request, mean_by, request_ratio
 from clustertrace.operators.rates import (
@@ -27,6 +27,7 @@ __all__ = [
     "fanout_histogram",
     "first_by_key",
     "gap_loss",
+    "gap_loss_by_class",
     "hit_summary",
     "latest_by_key",
     "max_request",

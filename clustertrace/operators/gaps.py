@@ -44,11 +44,7 @@ def gap_loss(
         .groupBy(*keys, time)
         .agg(F.max(flag(is_up)).alias("_up"), F.max(F.when(is_down, F.col(weight))).alias("_down"))
     )
-    if up < down:
-        ends, opens = F.col("_up") == 1, F.col("_down")
-    else:
-        ends = (F.col("_up") == 1) & F.col("_down").isNull()
-        opens = F.when(F.col("_up") == 0, F.col("_down"))
+    ends, opens = _border(up < down)
     spans = instants.select(
         *keys,
         F.col(time).alias("_from"),
@@ -65,7 +61,14 @@ def gap_loss(
     return _joined(spans, keys).select(*keys, F.col("_lost").alias(name))
 
 
-def _joined(spans: DataFrame, group: Sequence[str]) -> DataFrame:
+def _border(ups_first: bool) -> tuple[Column, Column]:
+    """Whether an instant ends a gap, and the weight it leaves open."""
+    if ups_first:
+        return F.col("_up") == 1, F.col("_down")
+    return (F.col("_up") == 1) & F.col("_down").isNull(), F.when(F.col("_up") == 0, F.col("_down"))
+
+
+def _joined(spans: DataFrame, group: Sequence[str], classed: bool = False) -> DataFrame:
     """Join the spans of every group, in order of time, into one.
 
     A span reaches from its first instant to its last. It is known by whether the
@@ -73,9 +76,25 @@ def _joined(spans: DataFrame, group: Sequence[str]) -> DataFrame:
     was lost inside. Between two neighbours, a gap left open by the one and ended
     by the other is lost as well. Spans of instants make spans of slices, and these
     make the span of a key, so that no window holds more than a slice's instants.
+
+    ``classed`` spans carry ``_down``, the weight of their last down event, and ``_first``, that of the first
+    event, and begin at ``_begin``; where nothing goes down or up they have no ``_from``, and are skipped.
     """
-    window = Window.partitionBy(*group).orderBy("_from")
-    between = F.lag("_open").over(window) * (F.col("_from") - F.lag("_to").over(window))
+    order = "_begin" if classed else "_from"
+    window = Window.partitionBy(*group).orderBy(order)
+
+    def before(column: str) -> Column:
+        return (F.expr(f"lag({column}) IGNORE NULLS") if classed else F.lag(column)).over(window)
+
+    between = before("_open") * (F.col("_from") - before("_to"))
+    carried = []
+    if classed:
+        last = F.when(F.col("_down").isNotNull(), F.col("_begin"))
+        carried = [
+            F.max_by("_down", last).alias("_down"),
+            F.min_by("_first", "_begin").alias("_first"),
+            F.min("_begin").alias("_begin"),
+        ]
     lost = F.col("_lost") + F.when(F.col("_ends"), F.coalesce(between, F.lit(0.0))).otherwise(0.0)
     return (
         spans.withColumn("_lost", lost)
@@ -86,10 +105,69 @@ def _joined(spans: DataFrame, group: Sequence[str]) -> DataFrame:
             F.sum("_lost").alias("_lost"),
             F.min("_from").alias("_from"),
             F.max("_to").alias("_to"),
+            *carried,
         )
     )
 
 
+def gap_loss_by_class(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    time: str = "time",
+    event: str = "event_type",
+    weight: str = "cpus",
+    down: int = REMOVE,
+    up: int = ADD,
+    name: str = "lost",
+    widths: Sequence[int] = (SLICE,),
+) -> DataFrame:
+    """``down_class`` and ``gap_loss`` of every key in one pass, as ``(keys, weight, lost)``.
+
+    A key without a gap has 0 lost. Rows are grouped by instant and event with a map-side part, and then
+    shuffled by key and slice once: instants, slices' spans and their windows are made from that. A span
+    carries the weight of its last down event and that of its first event of any kind.
+    """
+    check_widths(widths)
+    keys = names(keys)
+    events = (
+        present(df, *keys, time, weight)
+        .groupBy(*keys, time, event)
+        .agg(F.min(weight).alias("_least"), F.max(weight).alias("_most"))
+    )
+    slices = [f"_slice_{w}" for w in widths[:1]]
+    if slices:
+        start = F.col(time) - F.pmod(time, F.lit(widths[0]))
+        events = events.withColumn(slices[0], start).repartition(*keys, *slices)
+    is_down, is_up = F.col(event) == down, F.col(event) == up
+    instants = events.groupBy(*keys, *slices, time).agg(
+        F.max(flag(is_up)).alias("_up"),
+        F.max(F.when(is_down, F.col("_most"))).alias("_down"),
+        F.min_by("_least", event).alias("_first"),
+    )
+    ends, opens = _border(up < down)
+    # An instant with other events only neither ends nor opens a gap, and is no end of a span.
+    touched = (F.col("_up") == 1) | F.col("_down").isNotNull()
+    spans = instants.select(
+        *keys,
+        *slices,
+        F.col(time).alias("_begin"),
+        F.when(touched, F.col(time)).alias("_from"),
+        F.when(touched, F.col(time)).alias("_to"),
+        F.when(touched, ends).alias("_ends"),
+        F.when(touched, F.coalesce(opens, F.lit(0.0))).alias("_open"),
+        F.lit(0.0).alias("_lost"),
+        "_down",
+        "_first",
+    )
+    for width in widths:
+        start = f"_slice_{width}"
+        if start not in slices:
+            spans = spans.withColumn(start, F.col("_begin") - F.pmod("_begin", F.lit(width)))
+        spans = _joined(spans, [*keys, start], classed=True)
+    whole = _joined(spans, keys, classed=True)
+    return whole.select(*keys, F.coalesce("_down", "_first").alias(weight), F.col("_lost").alias(name))
+
+
 def trace_end(df: DataFrame, time: str = "time") -> Column:
     """Last time of the rows, as a scalar subquery to use in an expression."""
     return df.agg(F.max(time).alias("trace_end")).scalar()

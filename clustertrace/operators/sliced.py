@@ -34,7 +34,7 @@ HOUR = 60 * MINUTE
 # on one machine of a month-long trace; for a small or sparse trace an hour is better.
 SLICE = 10 * MINUTE
 
-_SIDE, _COUNT = "_side", "_count_of_"
+_SIDE = "_side"
 _BORDER, _POINT = 0, 1
 
 
@@ -65,7 +65,12 @@ def running(
     ``following``  first non-null value among the later points
     """
     check_widths(widths)
-    sums, previous, following = dict(sums or {}), dict(previous or {}), dict(following or {})
+    parts = (dict(sums or {}), dict(previous or {}), dict(following or {}))
+    return _running(points, list(keys), time, *parts, widths, ())
+
+
+def _running(points, keys, time, sums, previous, following, widths, counts) -> DataFrame:
+    """``running``; ``counts`` are columns of counts, kept up for the slices of the next level."""
     if not widths:
         return points.select("*", *_windows(keys, [time], sums, previous, following))
 
@@ -73,7 +78,7 @@ def running(
     group = [*keys, start]
     slice_start = F.col(time) - F.pmod(time, F.lit(widths[0]))
     rows = points.select("*", slice_start.alias(start)).repartition(*group)
-    around = _around(rows, points.columns, keys, time, start, sums, previous, following, widths[1:])
+    around, counted = _around(rows, points.columns, keys, time, start, sums, previous, following, widths[1:], counts)
 
     # A working column per result: the border row has another value for each of them.
     sources = {**sums, **previous, **following}
@@ -82,10 +87,10 @@ def running(
         "*", F.lit(_POINT).alias(_SIDE), *(F.col(c).alias(work[name]) for name, c in sources.items())
     )
     # Counts are never below the mark, so this is the mark; but it reads all columns.
-    counts = [F.col(c) for c in around.columns if c.startswith(_COUNT)]
+    columns = [F.col(c) for c in counted]
     borders = around.select(
         *group,
-        (F.least(F.lit(_BORDER), *counts).cast("int") if counts else F.lit(_BORDER)).alias(_SIDE),
+        (F.least(F.lit(_BORDER), *columns).cast("int") if columns else F.lit(_BORDER)).alias(_SIDE),
         *(F.col(name).alias(work[name]) for name in sources),
     )
     # Both sides are partitioned alike, so the union needs no further shuffle.
@@ -95,8 +100,8 @@ def running(
     return valued.where(F.col(_SIDE) == _POINT).select(*points.columns, *sources)
 
 
-def _around(rows, columns, keys, time, start, sums, previous, following, widths) -> DataFrame:
-    """One row per slice: its running values, seen from the slice as a whole."""
+def _around(rows, columns, keys, time, start, sums, previous, following, widths, counts) -> tuple[DataFrame, list[str]]:
+    """One row per slice: its running values, seen from the slice as a whole; and its columns of counts."""
 
     def if_present(value: str) -> Column:
         return F.when(F.col(value).isNotNull(), F.col(time))
@@ -107,14 +112,18 @@ def _around(rows, columns, keys, time, start, sums, previous, following, widths)
     # shuffled columns as the windows and Spark shuffles them once. A count is there
     # for every type, and can be hashed.
     others = [c for c in columns if c not in {*keys, *sources.values()}]
+    mark = "_count_of_"
+    while any(c.startswith(mark) for c in columns):
+        mark = f"_{mark}"
+    counted = [mark + c for c in others]
     slices = rows.groupBy(*keys, start).agg(
         *(F.sum(c).alias(of_slice[name]) for name, c in sums.items()),
         *(F.max_by(c, if_present(c)).alias(of_slice[name]) for name, c in previous.items()),
         *(F.min_by(c, if_present(c)).alias(of_slice[name]) for name, c in following.items()),
-        *(F.sum(c).alias(c) if c.startswith(_COUNT) else F.count(c).alias(_COUNT + c) for c in others),
+        *((F.sum(c) if c in counts else F.count(c)).alias(mark + c) for c in others),
     )
     parts = ({name: of_slice[name] for name in part} for part in (sums, previous, following))
-    return running(slices, keys, start, *parts, widths)
+    return _running(slices, keys, start, *parts, widths, counted), counted
 
 
 def _windows(group, order, sums, previous, following, bordered=False) -> list[Column]:

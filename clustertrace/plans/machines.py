@@ -9,8 +9,8 @@ from clustertrace.functions import pct, present
 from clustertrace.operators import (
     SLICE,
     count_by,
-    down_class,
     gap_loss,
+    gap_loss_by_class,
     latest_by_key,
     share_by,
     uptime_capacity,
@@ -51,9 +51,5 @@ def loss_share_by_capacity(
     lost nothing are listed with 0.
     """
     rows = present(machine_events, "cpus")
-    losses = (
-        down_class(rows, MACHINE_KEY)
-        .join(gap_loss(rows, MACHINE_KEY, widths=widths), MACHINE_KEY, "left")
-        .select("cpus", F.coalesce("lost", F.lit(0.0)).alias("lost"))
-    )
+    losses = gap_loss_by_class(rows, MACHINE_KEY, widths=widths)
     return share_by(losses, "cpus", "lost").select("cpus", "pct").orderBy("cpus")

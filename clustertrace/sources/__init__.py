@@ -15,6 +15,7 @@ from clustertrace.sources.schemas import (
     TASK_EVENTS,
     TASK_USAGE,
 )
+from clustertrace.sources.staging import new_path, shared_dir
 
 __all__ = [
     "JOB_EVENTS",
@@ -22,12 +23,14 @@ __all__ = [
     "TASK_EVENTS",
     "TASK_USAGE",
     "count_issues",
+    "new_path",
     "parse_lines",
     "read_job_events",
     "read_machine_events",
     "read_task_events",
     "read_task_usage",
     "rounded",
+    "shared_dir",
     "validate_trace",
     "with_log_count",
     "write_result",

@@ -463,3 +463,24 @@ ORACLES: dict[str, str] = {
         FROM (SELECT count(*) FILTER (WHERE job_id % 7 = 5) AS n FROM task_events),
              (VALUES ('time'), ('job_id'), ('task_index'), ('event_type'), ('priority')) AS t(name)"""),
 }
+
+# What files give when they are read is what their lines give.
+ORACLES |= {
+    "read_machine_events": ORACLES["parse_lines"],
+    "read_job_events": ORACLES["parse_job_lines"],
+    "read_task_events": ORACLES["parse_task_lines"],
+    "read_task_usage": ORACLES["parse_usage_lines"],
+    "read_gzip_usage": ORACLES["parse_usage_lines"],
+    "validate_trace": ORACLES["count_line_issues"],
+    "read_task_parts": _sql("task_events", """
+        SELECT event_type, CASE WHEN job_id % 5 < 3 THEN 'glob' ELSE 'list' END AS way, count(*) AS n,
+               count(time) AS n_time, count(job_id) AS n_job_id, count(machine_id) AS n_machine_id,
+               count(priority) AS n_priority, CAST(sum(time % 1000003) AS BIGINT) AS sum_time,
+               CAST(sum(job_id % 1000003) AS BIGINT) AS sum_job_id,
+               CAST(sum(machine_id % 1000003) AS BIGINT) AS sum_machine_id,
+               CAST(sum(priority % 1000003) AS BIGINT) AS sum_priority
+        FROM task_events GROUP BY ALL"""),
+    "gap_loss_by_class": _sql("machine_events", f"""
+        WITH {_PAIRS.strip()}, {_CLASSES.strip()}
+        SELECT machine_id, cpus, CAST(coalesce(lost, 0) AS DOUBLE) AS lost FROM classes LEFT JOIN losses USING (machine_id)"""),
+}

@@ -10,6 +10,7 @@ from clustertrace.operators import (
     event_rate,
     fanout_histogram,
     gap_loss,
+    gap_loss_by_class,
     latest_by_key,
     max_with,
     share_by,
@@ -78,6 +79,8 @@ def test_gaps_equal_a_sequential_walk(spark, widths):
     table = machine_rows(spark, rows).repartition(7)
     lost = {m: lost_by_definition(events) for m, events in machines.items()}
     assert pairs(gap_loss(table, "machine_id", widths=widths)) == lost
+    both = {r.machine_id: (r.cpus, r.lost) for r in gap_loss_by_class(table, "machine_id", widths=widths).collect()}
+    assert both == {m: (class_sequentially(e), lost[m]) for m, e in machines.items()}
     total, classes = sum(lost.values()), {}
     for machine, events in machines.items():
         cls = class_sequentially(events)
@@ -93,6 +96,29 @@ def test_gap_codes_can_be_swapped(spark):
         "time long, k long, event_type int, cpus double",
     )
     assert pairs(gap_loss(rows, "k", down=3, up=9)) == {1: 1.0}
+    both = gap_loss_by_class(rows, "k", down=3, up=9).select("k", F.struct("cpus", "lost"))
+    assert {k: tuple(v) for k, v in pairs(both).items()} == {1: (0.25, 1.0)}
+
+
+def test_other_events_neither_end_nor_open_a_gap(spark):
+    rows = machine_rows(spark, [
+        (0, 1, UPDATE, 0.25), (2, 1, REMOVE, 0.5), (9, 1, UPDATE, 1.0), (30, 1, UPDATE, 0.1), (31, 1, ADD, 1.0),
+        (1, 2, UPDATE, 0.75), (1, 2, UPDATE, 0.5), (8, 2, ADD, 1.0), (3, 3, REMOVE, 1.0), (3, 3, REMOVE, 0.5), (4, None, ADD, 1.0),
+    ])
+    for widths in ((), (4,), (4, 12)):
+        got = {r.machine_id: (r.cpus, r.lost) for r in gap_loss_by_class(rows, "machine_id", widths=widths).collect()}
+        assert got == {1: (0.5, 14.5), 2: (0.5, 0.0), 3: (1.0, 0.0)}
+    assert gap_loss_by_class(rows.where("time < 0"), "machine_id").collect() == []
+
+
+def test_hot_instants_are_combined_before_the_shuffle(spark):
+    """Many rows of one machine and instant reach the second stage as one row per event and map task."""
+    hot = spark.range(0, 20_000, 1, 4).selectExpr("5L AS time", "1L AS machine_id", "CAST(id % 2 AS INT) AS event_type", "(id % 7) / 8.0D AS cpus")
+    rest = machine_rows(spark, [(1, 1, REMOVE, 0.5), (9, 1, ADD, 0.5)])
+    result = gap_loss_by_class(hot.unionByName(rest.select(hot.columns)), "machine_id")
+    assert [tuple(r) for r in result.collect()] == [(1, 0.75, 0.5 * 4 + 0.75 * 4)]
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "SortAggregate" not in plan
 
 
 def test_capacity_distribution(spark):

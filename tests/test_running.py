@@ -165,6 +165,16 @@ def test_further_columns_of_any_type_are_kept_and_read_once(spark, tmp_path):
     assert "SortAggregate" not in plan
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_columns_called_like_working_columns_are_kept(spark, kind):
+    rows = [(k % 2, k, k % 5, k if kind == "long" else f"s{k}", k) for k in range(40)]
+    points = spark.createDataFrame(rows, f"k long, t long, v long, _count_of_x {kind}, __count_of_v long")
+    got = running(points, ["k"], "t", {"total": "v"}, widths=(5, 15)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(
+        (*row, sum(v for k, t, v, *_ in rows if k == row[0] and t < row[1])) for row in rows
+    )
+
+
 def levels(spark, changes, partitions, **options):
     rows = spark.createDataFrame(changes, "k long, t long, d double").repartition(partitions)
     return {r.t: r.level for r in running_level(rows, "k", "t", "d", widths=(5,), **options).collect()}

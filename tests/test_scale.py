@@ -30,7 +30,7 @@ def test_plan_has_no_python_and_no_unkeyed_gathering(spark, sf_dir, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["overcommit_by_machine", "running_level", "carry_forward", "gap_loss"]
+    "name", ["overcommit_by_machine", "running_level", "carry_forward", "gap_loss", "gap_loss_by_class"]
 )
 def test_windows_over_rows_are_cut_into_slices(spark, sf_dir, name):
     plan = executed(entry_module.queries()[name](spark, sf_dir))
@@ -111,7 +111,7 @@ def test_filters_and_columns_reach_the_scan(trace, name):
 
 #: Scans of the final plans, where it isn't one per table.
 MORE_SCANS = {
-    "maintenance_loss_pct": 2, "loss_share_by_capacity": 2, "uptime_capacity": 2, "overestimation_by_eviction": 2,
+    "maintenance_loss_pct": 2, "uptime_capacity": 2, "overestimation_by_eviction": 2,
     "label": 2,
 }
 
@@ -129,6 +129,26 @@ def test_scans_and_sorts_of_the_final_plan(spark, sf_dir, name):
         assert "machine" in tables
 
 
+def final_lines(plan):
+    """The lines of all final plans, those of subqueries among them."""
+    out, skipped = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if skipped is not None and depth >= skipped:
+            continue
+        skipped = depth if "== Initial Plan ==" in line else None
+        out.append(line)
+    return out
+
+
+def test_losses_and_classes_come_from_one_pass(spark, sf_dir):
+    for name in ("gap_loss_by_class", "loss_share_by_capacity"):
+        result = entry_module.queries()[name](spark, sf_dir)
+        result.collect()
+        final = "\n".join(final_lines(executed(result)))
+        assert final.count("FileScan parquet") == 1 and "Join" not in final and "SortAggregate" not in final
+
+
 def test_source_is_read_once_for_the_sliced_windows(spark, sf_dir):
     """The rows that feed the slices and the slice summaries are shuffled once."""
     from clustertrace.sources import mapped

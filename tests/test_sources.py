@@ -10,12 +10,14 @@ from clustertrace.sources import (
     MACHINE_EVENTS,
     TASK_EVENTS,
     count_issues,
+    new_path,
     parse_lines,
     read_job_events,
     read_machine_events,
     read_task_events,
     read_task_usage,
     rounded,
+    shared_dir,
     validate_trace,
     with_log_count,
     write_result,
@@ -128,6 +130,40 @@ def test_validation_of_a_clean_table_lists_all_checks(spark, tmp_path):
         "time", "job_id", "task_index", "event_type", "priority"]
 
 
+def test_validation_reads_lists_globs_and_gzip(spark, tmp_path):
+    first = put(tmp_path, "part-1.csv", ["1,,7,0,u,3,n,l", "1,,x,0,u,3,n,l"])
+    second = put(tmp_path, "part-2.csv.gz", ["1,,7,0,u,3,n", "1,,7,,u,three,n,l", " "])
+    for path in ([first, second], str(tmp_path / "part-*")):
+        found = pairs(validate_trace(spark, path, JOB_EVENTS))
+        assert found == {"malformed": 3, "missing time": 0, "missing job_id": 0, "missing event_type": 0}
+
+
+def test_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    def session(master, folder=""):
+        conf = SimpleNamespace(get=lambda key, other: folder or other)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert new_path(session("yarn", "hdfs://a/b/"), "x").startswith("hdfs://a/b/x-")
+    assert new_path(session("local[2]"), "x") != new_path(session("local"), "x")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://a:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
+
+
+@pytest.mark.parametrize("missing", ["zstandard", "tokenizers"])
+def test_analytics_are_registered_without_the_packages_of_other_queries(missing):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).parent.parent
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(sorted(e.PLANS) == sorted(set(e.queries()) & set(e.PLANS)))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert done.stdout.strip() == "True"
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_results_are_written_and_read_back(spark, tmp_path, fmt):
     df = spark.createDataFrame([(1, 10, 0.123456), (2, 100, 0.5)], "x int, n long, y double")
