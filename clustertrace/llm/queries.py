@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -18,7 +17,7 @@ from clustertrace.llm.html_text import main_text
 from clustertrace.llm.language_id import identify
 from clustertrace.llm.ngram_join import similar_documents
 from clustertrace.llm.packing import pack
-from clustertrace.llm.shared import shared_dir
+from clustertrace.llm.shared import new_path
 from clustertrace.llm.spelling import letter_runs, spelling_variants
 from clustertrace.llm.toxicity import fit, held_out, score
 from clustertrace.llm.url_filter import judge_urls
@@ -92,7 +91,7 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/archives-{uuid.uuid4().hex}"
+    folder = new_path(spark, "archives")
     write_archives(table(spark, sf_dir, "pages"), folder)
     read = read_archives(folder, spark)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -3,25 +3,16 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a new local one where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", "")
-    if named:
-        return named.rstrip("/")
-    if "dir" not in _OWN:
-        _OWN["dir"] = "file://" + tempfile.mkdtemp(prefix="clustertrace-")
-    return _OWN["dir"]
+from clustertrace.sources.staging import new_path, shared_dir
 
+__all__ = ["give_back", "new_path", "put", "shared_dir", "small_batches", "stored", "text_or_empty"]
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The rows written once as Parquet in the shared folder and read back, with their lineage cut.
@@ -29,7 +20,7 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     What reads the result later sees the same rows whichever executors are lost meanwhile.
     """
     spark = frame.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
@@ -56,3 +47,18 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another system's library
         pass
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Fewer rows in a batch between Spark and Python meanwhile, for what is run inside.
+
+    A batch is held several times over, by the executor and by its Python workers.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
