@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from clustertrace.llm.language_id import TextModel, fit_text, identify, letter_trigrams
 from clustertrace.llm.queries import op2_language_id
@@ -90,8 +91,6 @@ def test_evidence_settles_what_text_leaves_open(spark):
 
 def test_pages_by_markup_and_address(spark, sf_dir):
     """The operator on web pages, with the declared language of the markup and the host of the address."""
-    from pyspark.sql import functions as F
-
     from clustertrace.llm.html_text import main_text
     from clustertrace.llm.url_filter import url_host
 
@@ -106,3 +105,28 @@ def test_whole_documents(spark, sf_dir, documents):
     rows = op2_language_id(spark, sf_dir).collect()
     truth = {r["doc_id"]: r["lang"] for r in documents.collect()}
     assert {r["doc_id"]: r["language"] for r in rows} == truth
+
+
+def test_spellings_of_a_declaration_are_one_language(spark, documents):
+    """English as en, en-US and EN, then in sixty spellings: clean English rows stay English."""
+    for spelling in (["en", "en-US", "EN"], [f"en-{k}" for k in range(40)] + [f" En_{k}" for k in range(20)]):
+        names = F.array(*map(F.lit, spelling))
+        said = F.when(F.col("lang") == "en", names[(F.col("doc_id") % len(spelling)).cast("int")]).otherwise(F.col("lang"))
+        rows = documents.withColumn("truth", F.col("lang")).withColumn("lang", said)
+        model = fit_text(rows)
+        assert model.languages == ["de", "en", "es", "fr"]
+        got = identify(rows, model=model).join(documents.select("doc_id", F.col("lang").alias("truth")), "doc_id").collect()
+        assert np.mean([r["language"] == r["truth"] and r["kept"] for r in got]) > 0.97
+
+
+def test_thousands_of_made_up_declarations_are_merged(spark, documents):
+    """Every declaration is junk but some: the languages are found all the same, and rows stay narrow."""
+    copies = documents.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(29))))
+    junk = F.concat(F.lit("x"), F.conv(F.crc32(F.concat("doc_id", F.lit(" "), "k").cast("binary")).cast("string"), 10, 36))
+    rows = copies.withColumn("truth", F.col("lang")).withColumn("lang", F.when(F.col("k") > 5, junk).otherwise(F.col("lang")))
+    assert rows.select("lang").distinct().count() > 4000
+    model = fit_text(rows)
+    assert {"de", "en", "es", "fr"} <= set(model.languages) and len(model.languages) <= 8
+    got = identify(rows.withColumn("doc_id", F.col("doc_id") * 30 + F.col("k")), model=model).collect()
+    truth = {r["doc_id"]: r["lang"] for r in documents.collect()}
+    assert np.mean([r["language"] == truth[r["doc_id"] // 30] for r in got]) > 0.97
