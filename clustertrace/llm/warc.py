@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clustertrace.llm.shared import stored
+from clustertrace.llm.shared import give_back, stored
 
 #: Fixed values of the formats: the magic numbers of the dictionary's frame and of a frame to skip.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -54,6 +54,9 @@ def record(key: int | None, url: str | None, payload: bytes, refers_to: int | No
     head = "".join(f"{k}: {v}\r\n" for k, v in fields)
     return b"WARC/1.1\r\n" + head.encode() + b"\r\n" + body + b"\r\n\r\n"
 
+#: Bytes of an archive that are looked at at once.
+_STEP = 8192
+
 
 def train_dictionary(records: list[bytes], size: int) -> zstandard.ZstdCompressionDict | None:
     """A dictionary of at most ``size`` bytes from some records, None where they are too few or too alike."""
@@ -102,10 +105,15 @@ def read_archive(data: bytes | memoryview) -> Iterator[bytes]:
     while at < len(view):
         magic = int.from_bytes(view[at : at + 4], "little")
         if magic == ZSTD_MAGIC:
-            frame = decompressor.decompressobj()
-            out = frame.decompress(view[at:])
-            yield out
-            at = len(view) - len(frame.unused_data)
+            # In small steps, as what lies behind the frame is copied with the last of them.
+            frame, parts = decompressor.decompressobj(), []
+            while not frame.eof:
+                if at >= len(view):
+                    raise ValueError("the archive ends within a frame")
+                parts.append(frame.decompress(view[at : at + _STEP]))
+                at += min(_STEP, len(view) - at)
+            at -= len(frame.unused_data)
+            yield b"".join(parts)
         elif magic & 0xFFFFFFF0 == SKIPPABLE_MAGIC:
             size = int.from_bytes(view[at + 4 : at + 8], "little")
             if magic == DICTIONARY_MAGIC:
@@ -133,8 +141,12 @@ def write_archives(
     least_bytes: int = 0,
     dictionary_size: int = 65_536,
     sample_bytes: int = 4_000_000,
+    archive_bytes: int = 32_000_000,
 ) -> None:
-    """Writes an archive per partition into the folder ``path``, with a record per page.
+    """Writes archives into the folder ``path``, with a record per page.
+
+    A partition begins a new archive, with a dictionary of its own, when the records of the one before have
+    ``archive_bytes`` together; only a longer record makes a larger one.
 
     The payload is the text of ``payload_col`` in UTF-8, empty for NULL. Of equal payloads of at
     least ``least_bytes`` bytes, the record with the smallest id is the response, and the others are
@@ -145,7 +157,8 @@ def write_archives(
     Equal payloads are found by SHA-256 and length in a grouping with a map-side part; the groups are
     written first and joined back, so Spark can split a hot one. Archives go through Spark's text
     writer, to any folder that Spark can write; the line feeds that it adds lie in frames that
-    readers skip. A task holds the records that train its dictionary and one more.
+    readers skip. A task holds one archive, the records that train its dictionary and one more. An
+    empty table gives a folder without records; a text of any length is one record.
     """
     payload = F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
@@ -162,18 +175,23 @@ def write_archives(
                 yield record(key, url, data, first, revisit)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, held = [], 0
-        for part in archive(records(batches), dictionary_size, sample_bytes):
-            chunk.append(part)
-            held += len(part)
-            if held > 1_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array([b"".join([*chunk, _LINE_END])], pa.binary())], names=["chunk"])
-                chunk, held = [], 0
-        if chunk:
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join([*chunk, _LINE_END])], pa.binary())], names=["chunk"])
-
-    chunks = rows.mapInArrow(write, "chunk binary")
-    chunks.select(F.col("chunk").cast("string")).write.option("compression", "none").text(path)
+        source = records(batches)
+
+        def some(first: bytes) -> Iterator[bytes]:
+            held = len(first)
+            yield first
+            while held < archive_bytes and (item := next(source, None)) is not None:
+                held += len(item)
+                yield item
+
+        for first in source:
+            whole = b"".join([*archive(some(first), dictionary_size, sample_bytes), _LINE_END])
+            yield pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], names=["archive"])
+            del whole
+        give_back()
+
+    archives = rows.mapInArrow(write, "archive binary").select(F.col("archive").cast("string"))
+    archives.write.option("compression", "none").option("maxRecordsPerFile", 1).text(path)
 
 
 def read_archives(pages_path: str, spark) -> DataFrame:

@@ -1,5 +1,7 @@
 import base64
 import hashlib
+import random
+import time
 import uuid
 
 import pytest
@@ -50,6 +52,33 @@ def test_odd_pages(spark, least):
             assert bytes(r["payload"]).decode() == texts[r["page_id"]]
 
 
+def test_archives_are_cut_and_read_back(spark):
+    rows = [(k, f"http://a/{k}", f"<p>page {k}</p>" * (k % 40), "x", 1) for k in range(400)]
+    path, read = round_trip(spark, spark.createDataFrame(rows, SCHEMA).coalesce(2), archive_bytes=20_000)
+    assert sorted((tuple(r)[:5] for r in read.collect()), key=repr) == brute(rows)
+    files = spark.read.format("binaryFile").load(path).filter("length > 0").select("content").collect()
+    assert len(files) > 8
+    assert sum(len(list(read_archive(bytes(f["content"])))) for f in files) == 400
+
+
+def test_reading_takes_time_in_proportion():
+    rng = random.Random(4)
+    records = [record(k, f"http://a/{k}", rng.randbytes(600), k, False) for k in range(16_000)]
+    seconds = []
+    for n in (1_000, 16_000):
+        data = b"".join(archive(records[:n], 4096, 100_000))
+        start = time.perf_counter()
+        assert sum(1 for _ in read_archive(data)) == n
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 16 * 5 * seconds[0]
+
+
+def test_cut_archive_raises():
+    data = b"".join(archive([record(1, "http://a", b"x" * 500, 1, False)], 4096, 10))
+    with pytest.raises(ValueError, match="ends within"):
+        list(read_archive(data[:-5]))
+
+
 def test_without_pages(spark):
     frame = spark.createDataFrame(PAGES, SCHEMA).filter("page_id = -1")
     assert round_trip(spark, frame)[1].collect() == []
