@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -116,51 +117,31 @@ def _is_usable(column: Column) -> Column:
     return F.coalesce((F.size(column) > 0) & ~bad & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
-def near_duplicates(
-    vectors: DataFrame,
-    id_col: str = "vec_id",
-    vector_col: str = "embedding",
-    least_cosine: float = 0.95,
-    recall: float = 0.999,
-    sample: int = 20_000,
-    per_cell: int = 64,
-    most_words: int = 1024,
-    block: int = 2048,
-) -> DataFrame:
-    """Per vector the id column, ``n_links``, ``component_id`` and ``kept``.
+def _few(least_cosine: float):
+    """Links among all vectors of one length, where they are few enough for one matrix product."""
 
-    Two vectors link when their cosine, in double precision, is at least ``least_cosine``; ``n_links``
-    counts the other vectors linked, ``component_id`` is the smallest id that links reach, and a
-    vector is ``kept`` where that is its own.
+    def compare(table: pa.Table) -> pa.Table:
+        node, weight = table["node"].to_numpy(), table["weight"].to_numpy()
+        x = unit_rows(table["v"].combine_chunks(), table["d"][0].as_py())
+        alike = x @ x.T >= least_cosine
+        np.fill_diagonal(alike, False)
+        a, b = forest(*(node[k] for k in np.nonzero(alike)))
+        no_end = np.arange(len(node) + len(a)) < len(node)
+        return pa.table(
+            {
+                "a": pa.array(np.concatenate([node, a])),
+                "b": pa.array(np.concatenate([node, b]), mask=no_end),
+                "n": pa.array(np.concatenate([alike.astype(np.int64) @ weight, np.zeros(len(a), np.int64)])),
+            }
+        )
 
-    1. Equal vectors are grouped and compared once; their number counts as links.
-    2. Codebooks for the two halves are trained on ``sample`` vectors, with about ``per_cell`` vectors
-       a cell and at most ``most_words`` words each. Every vector is put in its cell and visits the
-       nearest cells, in the order of a lower bound of the way into them, until ``recall`` is reached
-       for pairs at the threshold; closer pairs are found more surely. A pair is found if either
-       vector visits the other's cell.
-    3. Cells and their visitors are cut into blocks of ``block`` and four times as many rows, so a hot
-       cell is many groups; each group compares all its pairs by one matrix product. It gives out
-       sums of links and as few links as connect the same vectors, never all pairs.
+    return compare
 
-    A vector that is NULL, empty or zero, holds a NULL or a number that isn't finite, or hasn't the
-    commonest number of entries links with nothing. A vector without an id counts and links for
-    others; its ``component_id`` is that of its component, NULL if no id is in it, and it isn't kept.
-    """
-    rows = vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector_col}`").alias("v"))
-    rows = rows.withColumn("ok", _is_usable(F.col("v")))
-    sizes = rows.filter("ok").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    alone = rows.select(
-        F.col("id").alias(id_col), F.lit(0).cast("bigint").alias("n_links"), F.col("id").cast("bigint").alias("component_id")
-    )
-    if sizes is None:
-        return alone.withColumn("kept", F.col(id_col).isNotNull())
-    dims = sizes["d"]
-    usable = F.col("ok") & (F.size("v") == dims)
-    placeholder = F.lit(_NO_ID) + F.shiftright(F.xxhash64("v"), 2).bitwiseAND(F.lit((1 << 61) - 1))
-    groups = rows.filter(usable).groupBy("v").agg(F.min("id").cast("bigint").alias("id"), F.count(F.lit(1)).alias("weight"))
-    groups = stored(groups.select(F.coalesce("id", placeholder).alias("node"), "v", "weight"), "vectors")
-    n_groups = groups.count()
+
+def _compared(
+    groups: DataFrame, dims: int, n_groups: int, least_cosine: float, recall: float, sample: int, per_cell: int, most_words: int, block: int
+) -> DataFrame:
+    """Sums of links (``a``, ``n``) and links (``a``, ``b``) of different vectors of one length."""
     picked = groups.orderBy(F.xxhash64("v"), "node").limit(sample).select("v").toArrow()["v"].combine_chunks()
     words = 1 << int(np.clip(round(np.log2(max(1.0, n_groups / per_cell)) / 2), 1, np.log2(most_words)))
     index = build(unit_rows(picked, dims), words, least_cosine, recall)
@@ -264,7 +245,65 @@ def near_duplicates(
     schema = "cell bigint, block bigint, part bigint, node bigint, v array<float>, weight bigint, home bigint, member boolean, visits array<bigint>"
     schema = schema.replace("array<float>", groups.schema["v"].dataType.simpleString())
     found = groups.select("node", "v", "weight").mapInArrow(dealt, schema)
-    found = stored(found.groupBy("cell", "block", "part").applyInArrow(compare, "a bigint, b bigint, n bigint"), "compared")
+    return stored(found.groupBy("cell", "block", "part").applyInArrow(compare, "a bigint, b bigint, n bigint"), "compared")
+
+
+def near_duplicates(
+    vectors: DataFrame,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    least_cosine: float = 0.95,
+    recall: float = 0.999,
+    sample: int = 20_000,
+    per_cell: int = 64,
+    most_words: int = 1024,
+    block: int = 2048,
+) -> DataFrame:
+    """Per vector the id column, ``n_links``, ``component_id`` and ``kept``.
+
+    Two vectors link when their cosine, in double precision, is at least ``least_cosine``; ``n_links``
+    counts the other vectors linked, ``component_id`` is the smallest id that links reach, and a
+    vector is ``kept`` where that is its own.
+
+    1. Equal vectors are grouped and compared once; their number counts as links.
+    2. Codebooks for the two halves are trained on ``sample`` vectors, with about ``per_cell`` vectors
+       a cell and at most ``most_words`` words each. Every vector is put in its cell and visits the
+       nearest cells, in the order of a lower bound of the way into them, until ``recall`` is reached
+       for pairs at the threshold; closer pairs are found more surely. A pair is found if either
+       vector visits the other's cell.
+    3. Cells and their visitors are cut into blocks of ``block`` and four times as many rows, so a hot
+       cell is many groups; each group compares all its pairs by one matrix product. It gives out
+       sums of links and as few links as connect the same vectors, never all pairs.
+
+    Vectors of different lengths don't link. The commonest length, and each with more than ``block`` different
+    vectors, has codebooks of its own; the vectors of a rarer length are one group, compared by one product.
+
+    A vector that is NULL, empty or zero, or holds a NULL or a number that isn't finite
+    links with nothing. A table of any other shape, also an empty one, gives a row per row. A vector without an id counts and links for
+    others; its ``component_id`` is that of its component, NULL if no id is in it, and it isn't kept.
+    """
+    rows = vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector_col}`").alias("v"))
+    rows = rows.withColumn("ok", _is_usable(F.col("v")))
+    sizes = rows.filter("ok").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    alone = rows.select(
+        F.col("id").alias(id_col), F.lit(0).cast("bigint").alias("n_links"), F.col("id").cast("bigint").alias("component_id")
+    )
+    if sizes is None:
+        return alone.withColumn("kept", F.col(id_col).isNotNull())
+    usable = F.col("ok")
+    placeholder = F.lit(_NO_ID) + F.shiftright(F.xxhash64("v"), 2).bitwiseAND(F.lit((1 << 61) - 1))
+    groups = rows.filter(usable).groupBy("v").agg(F.min("id").cast("bigint").alias("id"), F.count(F.lit(1)).alias("weight"))
+    groups = groups.select(F.coalesce("id", placeholder).alias("node"), "v", "weight", F.size("v").alias("d"))
+    groups = stored(groups, "vectors")
+    # A row per length with many vectors.
+    many = groups.groupBy("d").count().filter((F.col("count") > block) | (F.col("d") == sizes["d"])).collect()
+    parts = [
+        _compared(groups.filter(F.col("d") == r["d"]).drop("d"), r["d"], r["count"], least_cosine, recall, sample, per_cell, most_words, block)
+        for r in many
+    ]
+    few = groups.filter(~F.col("d").isin([r["d"] for r in many])).groupBy("d")
+    parts.append(few.applyInArrow(_few(least_cosine), "a bigint, b bigint, n bigint"))
+    found = stored(reduce(DataFrame.unionByName, parts), "compared")
     sums = found.filter("b IS NULL").groupBy("a").agg(F.sum("n").alias("n"))
     labels = components(found.filter("b IS NOT NULL").select("a", "b"))
     known = groups.join(sums, groups["node"] == sums["a"], "left").drop("a").join(labels, "node", "left")

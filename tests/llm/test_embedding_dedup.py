@@ -8,17 +8,17 @@ from tests.llm.test_ngram_join import smallest
 SCHEMA = "vec_id bigint, embedding array<float>, n_links string, node int"
 
 
-def brute(rows, dims=None):
-    """Each row's number of links and component, by all cosines in double precision."""
+def brute(rows):
+    """Each row's number of links and component, by all cosines in double precision of vectors of one length."""
     usable = [k for k, (_, v, *_) in enumerate(rows) if v and None not in v and np.isfinite(v).all() and any(v)]
-    lengths = [len(rows[k][1]) for k in usable]
-    dims = max(sorted(set(lengths)), key=lengths.count, default=0)
-    usable = [k for k in usable if len(rows[k][1]) == dims]
-    x = np.array([rows[k][1] for k in usable], np.float32).astype(float).reshape(len(usable), -1)
-    x = x / np.sqrt((x * x).sum(1, keepdims=True))
-    linked = x @ x.T >= 0.95
-    at = {k: i for i, k in enumerate(usable)}
-    edges = [(usable[i], usable[j]) for i, j in zip(*np.nonzero(linked), strict=True) if i < j]
+    n_links, edges = dict.fromkeys(usable, 0), []
+    for dims in {len(rows[k][1]) for k in usable}:
+        own = [k for k in usable if len(rows[k][1]) == dims]
+        x = np.array([rows[k][1] for k in own], np.float32).astype(float)
+        x = x / np.sqrt((x * x).sum(1, keepdims=True))
+        linked = x @ x.T >= 0.95
+        n_links |= {k: int(n) - 1 for k, n in zip(own, linked.sum(1), strict=True)}
+        edges += [(own[i], own[j]) for i, j in zip(*np.nonzero(linked), strict=True) if i < j]
     root = smallest(edges, range(len(rows)))
     least = {}
     for k, r in root.items():
@@ -26,9 +26,8 @@ def brute(rows, dims=None):
             least[r] = min(least.get(r, rows[k][0]), rows[k][0])
     out = []
     for k, row in enumerate(rows):
-        n = int(linked[at[k]].sum()) - 1 if k in at else 0
         component = least.get(root[k])
-        out.append((row[0], n, component, row[0] is not None and row[0] == component))
+        out.append((row[0], n_links.get(k, 0), component, row[0] is not None and row[0] == component))
     return sorted(out, key=repr)
 
 
@@ -65,6 +64,17 @@ def test_odd_rows(spark):
     assert got(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
 
 
+@pytest.mark.parametrize("block", [2048, 8])
+def test_every_length_is_compared(spark, block):
+    rng = np.random.default_rng(3)
+    rows = []
+    for dims, n in ((2, 30), (3, 24), (5, 20), (7, 2)):
+        points = rng.normal(size=(3, dims))
+        rows += [(len(rows) + k, (points[k % 3] + 0.02 * rng.normal(size=dims)).tolist(), "x", 1) for k in range(n)]
+    rows += [(900, [1.0, 2.0, 3.0], "x", 1), (901, [1.0, 2.0, 3.0], "x", 1), (902, [1.0, 2.0, 3.0, 0.0], "x", 1)]
+    assert got(spark.createDataFrame(rows, SCHEMA), block=block) == brute(rows)
+
+
 def test_without_usable_vectors(spark):
     frame = spark.createDataFrame([(1, None, "a", 0), (2, [0.0], "a", 0)], SCHEMA)
     assert got(frame) == [(1, 0, 1, True), (2, 0, 2, True)]
