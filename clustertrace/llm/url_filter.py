@@ -39,8 +39,8 @@ def judge_urls(
     with the longest ``host`` and ``path`` together decides, then the longer host, then ``block``.
     Without a fitting rule ``rule`` is NULL and ``verdict`` is ``default``.
 
-    Each distinct pair of host and path is expanded into its host suffixes times its path prefixes
-    (of the lengths that rules have, which bounds them whatever the path's length), joined with the
+    Each distinct pair of host and path is expanded into its host suffixes (of as many labels as rules have) times
+    its path prefixes (of the lengths that rules have), which bounds them whatever the URL's length, joined with the
     rules on the first ``prefix_digits`` hexadecimal digits of a SHA-256, and confirmed by the full
     digest. Rules are broadcast only when counted at ``broadcast_rules`` or fewer, else shuffled.
     URLs that repeat are judged once: pairs are made distinct on the map side first.
@@ -58,16 +58,16 @@ def judge_urls(
         .withColumn("__digest", _digest("host", "path"))
         .withColumn("__prefix", F.substring("__digest", 1, prefix_digits))
     )
+    n_labels = F.size(F.split("host", r"\."))
+    levels = sorted(r[0] for r in listed.select(n_labels).distinct().collect())
     lengths = sorted(r[0] for r in listed.select(F.length("path")).distinct().collect())
     n_rules = listed.limit(broadcast_rules + 1).count()
     side = listed.select("__digest", "__prefix", "__block")
     side = F.broadcast(side) if n_rules <= broadcast_rules else side
 
     labels = F.split("host", r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))),
-    )
+    deep = F.filter(F.array(*map(F.lit, levels)), lambda n: n <= F.size(labels))
+    suffixes = F.transform(deep, lambda n: F.concat_ws(".", F.slice(labels, F.size(labels) - n + 1, n)))
     fitting = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length("path"))
     prefixes = F.transform(fitting, lambda n: F.substring(F.col("path"), F.lit(1), n))
 

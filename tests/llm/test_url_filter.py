@@ -48,3 +48,16 @@ def test_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
     got = {r["page_id"]: tuple(r)[1:] for r in op4_url_filter(spark, sf_dir).collect()}
     assert got == {p["page_id"]: brute(p["url"], RULES) for p in pages}
+
+
+def test_hosts_of_many_labels(spark):
+    """Only suffixes of as many labels as some rule has are built, whatever the host's length."""
+    host = "a." * 100_000 + "b.net"
+    rows = [(1, f"http://{host}/en/x"), (2, f"http://{'.' * 50_000}/"), (3, "http://b.net.:80/")]
+    rules = [("b.net", "/en/", "block"), ("net", "/", "allow"), ("a.a.b.net", "/en/x", "block")]
+    frame = spark.createDataFrame(rows, "page_id int, url string")
+    got = judge_urls(frame, spark.createDataFrame(rules, "host string, path string, verdict string"))
+    found = {r["page_id"]: (r["rule"], r["verdict"]) for r in got.select("page_id", "rule", "verdict").collect()}
+    assert found == {1: ("a.a.b.net/en/x", "block"), 2: (None, "allow"), 3: (None, "allow")}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
