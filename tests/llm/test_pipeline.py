@@ -65,8 +65,31 @@ def test_run(stages, spark, sf_dir):
     assert set(columns) <= set(rows.columns)
 
 
-def test_odd_documents_pass_every_stage(spark, odd, none, sf_dir):
+def test_odd_documents_pass_every_stage(spark, odd, none, documents, sf_dir):
+    """Rows are decided one by one, also where ids are NULL or repeated."""
+    english = [r["text"] for r in documents.filter("lang = 'en' AND length(text) > 900").orderBy("doc_id").limit(6).collect()]
+    near = english[0] + " tail"
+    rows = [
+        (None, english[0], 1), (None, "123 ...", 2), (7, english[1], 3), (7, "...", 4), (7, english[2], 5), (7, english[2], 6),
+        (3, near, 7), (9, english[3], 8), (8, english[3], 9), (None, english[3], 10), (None, english[4], 11), (None, english[4], 12), (2, english[5], 13),
+    ]
+    schema = "doc_id bigint, text string, lang string, source string, duplicate int, kept boolean, component_id int"
+    own = [(i, t, "en", "src1", k, True, 0) for i, t, k in rows]
+    docs = documents.select("doc_id", "text", "lang", "source").limit(0)
+    docs = spark.createDataFrame(own, schema).unionByName(docs, allowMissingColumns=True).repartition(3)
+    numbers = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        if name != "toxicity":
+            out = stored(stage(spark, docs, sf_dir), "stage")
+            assert out.columns == docs.columns
+            docs = out
+        numbers.append(sorted(r["duplicate"] for r in docs.collect()))
+    assert numbers[0] == [1, 3, 5, 6, 7, 8, 9, 10, 11, 12, 13]  # 2 and 4 have no letters
+    assert [k for k in numbers[2] if k not in (5, 6, 11, 12)] == [1, 3, 7, 9, 13]
+    assert len(set(numbers[2]) & {5, 6}) == len(set(numbers[2]) & {11, 12}) == 1
+    assert [k for k in numbers[3] if k not in (5, 6, 11, 12)] == [3, 7, 9, 13]  # 7 has an id, 1 has none
     for docs in (odd, none):
+        n = docs.count()
         for _, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, sf_dir), "stage")
-        docs.count()
+        assert docs.count() == 0 if n == 0 else docs.count() >= 1
