@@ -2,7 +2,9 @@
 
 Each stage works on all that the one before kept, and returns the columns of ``documents``; the last
 returns the pieces of the packed sequences. A stage that drops documents drops whole rows and leaves
-the others as they are. Rows without an id are dropped by the toxicity and exact stages only.
+the others as they are. Decisions are made row by row: a stage that needs them numbers its rows and writes
+the numbers with them, so rows without an id and rows that share one are told apart. Of equal and of similar
+documents the one with the smallest id stays, one without an id only where none has one, and one row of those that repeat.
 """
 
 from __future__ import annotations
@@ -14,19 +16,38 @@ from clustertrace.llm.exact_dedup import exact_duplicates
 from clustertrace.llm.language_id import identify
 from clustertrace.llm.ngram_join import similar_documents
 from clustertrace.llm.queries import packed, table
-from clustertrace.llm.shared import stored
+from clustertrace.llm.shared import small_batches, stored
 from clustertrace.llm.toxicity import fit, without_toxic
 
+_ROW = "__row"
+_TEXT, _LANGUAGE, _HOST, _ID = "text", "lang", "source", "doc_id"
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose ids aren't listed; the list is written first, so that Spark knows its size."""
-    return docs.join(stored(ids.dropna().distinct(), "dropped"), "doc_id", "left_anti")
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a number for each row, written, so that it stays the same."""
+    return stored(docs.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The documents whose numbers aren't listed; the list is written first, so that Spark knows its size."""
+    return docs.join(stored(rows, "dropped"), _ROW, "left_anti").drop(_ROW)
+
+
+def _others(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The numbers of all rows but one of each group, given as number and ``group``."""
+    ids = docs.select(_ROW, F.col(_ID).alias("id"))
+    order = F.struct(F.col("id").isNull(), "id", _ROW)
+    first = groups.join(ids, _ROW).groupBy("group").agg(F.min(order)[_ROW].alias("first"), F.count(F.lit(1)).alias("n"))
+    many = groups.join(first.filter("n > 1"), "group")
+    return many.filter(F.col(_ROW) != F.col("first")).select(_ROW)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in an identified language; of rows with one id, all stay or go together."""
-    kept = identify(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    return _without(docs, kept.filter("NOT kept").select("doc_id"))
+    """Documents in an identified language."""
+    with small_batches(spark):
+        rows = _numbered(docs)
+        found = identify(rows.select(_ROW, _TEXT, _LANGUAGE, _HOST), id_col=_ROW)
+        return _without(rows, found.filter("NOT kept").select(_ROW))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,19 +56,26 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of equal texts."""
-    return exact_duplicates(docs).filter("duplicate.kept").drop("duplicate")
+    """One document of each group of equal texts."""
+    rows = _numbered(docs)
+    found = exact_duplicates(rows.select(_ROW, _ID, _TEXT))
+    groups = stored(found.select(_ROW, F.col("duplicate.text_sha256").alias("group")), "equal")
+    return _without(rows, _others(rows, groups))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of similar texts."""
-    found = similar_documents(docs)
-    return _without(docs, found.filter("doc_id <> component_id").select("doc_id"))
+    """One document of each component of similar texts."""
+    with small_batches(spark):
+        rows = _numbered(docs)
+        found = similar_documents(rows.select(_ROW, _TEXT), id_col=_ROW)
+        groups = stored(found.select(_ROW, F.col("component_id").alias("group")), "similar")
+        return _without(rows, _others(rows, groups))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, placed in sequences."""
-    return packed(docs)
+    with small_batches(spark):
+        return packed(docs)
 
 
 STAGES = [
