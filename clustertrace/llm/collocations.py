@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 from array import array
 from collections.abc import Iterator
 
@@ -20,7 +21,9 @@ _ENDS = b",;:!?\n\x0b\x0c\r"
 #: Lower-cases A-Z and makes every end of a piece a full stop.
 _PLAIN = bytes.maketrans(_UPPER + _ENDS, _UPPER.lower() + b"." * len(_ENDS))
 _AT_ONCE = 1 << 20
-_CODED = "shard bigint, lang string, word string, code int, n bigint, codes binary, lead int"
+_CODED = "shard bigint, lang string, word string, code int, n bigint, codes binary, lead int, words binary"
+_BITMAP_BITS = 25
+_CHUNK_BITS = 15
 _FILTER = "shard bigint, k int, bucket bigint, filter binary"
 
 
@@ -71,14 +74,16 @@ class _Shard:
         for lang, own in self.words.items():
             words = [w for w in own if w != b"."]
             at = np.fromiter((own[w] for w in words), np.int32, len(words))
-            yield _batch(name, len(words), lang, pa.array(words, pa.binary()).cast(pa.string()), at, n[at], None, None)
+            yield _batch(name, len(words), lang, pa.array(words, pa.binary()).cast(pa.string()), at, n[at], None, None, None)
         # The upper bytes are mostly 0, as frequent words come early; so they are laid together.
         planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
         stream = pa.compress(planes, codec="zstd", asbytes=True)
-        yield _batch(name, 1, None, None, [self.taken[0]], [len(codes)], [stream], [self.lead])
+        spelled = pickle.dumps([(lang, b"\n".join(own), list(own.values())) for lang, own in self.words.items()])
+        spelled = len(spelled).to_bytes(8, "little") + pa.compress(spelled, codec="zstd", asbytes=True)
+        yield _batch(name, 1, None, None, [self.taken[0]], [len(codes)], [stream], [self.lead], [spelled])
 
 
-def _batch(name: int, size: int, lang, words, codes, n, stream, lead) -> pa.RecordBatch:
+def _batch(name: int, size: int, lang, words, codes, n, stream, lead, spelled) -> pa.RecordBatch:
     none = [None] * size
     columns = [
         pa.array([name] * size, pa.int64()),
@@ -88,6 +93,7 @@ def _batch(name: int, size: int, lang, words, codes, n, stream, lead) -> pa.Reco
         pa.array(n if n is not None else none, pa.int64()),
         pa.array(stream or none, pa.binary()),
         pa.array(lead or none, pa.int32()),
+        pa.array(spelled or none, pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _CODED.split(", ")])
 
@@ -120,35 +126,85 @@ def _coder(shard_tokens: int, context: int):
     return code
 
 
-def _counter(width: int, longest: int, bucket_bits: dict[int, int]):
-    """Filters of all phrases of a shard whose words are known, a row per length and bucket."""
+def _known(spelled: bytes, top: int, dictionary: dict) -> np.ndarray:
+    """The ids of a shard's codes, 0 for words that the dictionary hasn't."""
+    size, ids = int.from_bytes(spelled[:8], "little"), np.zeros(top + 1, np.uint64)
+    for lang, words, codes in pickle.loads(pa.decompress(spelled[8:], size, "zstd", asbytes=True)):
+        own = dictionary.get(lang, {})
+        # No word holds a line end.
+        ids[codes] = [own.get(w, 0) for w in words.split(b"\n")]
+    ids[0] = 0
+    return ids
 
-    def count(key: tuple, streams: pa.Table, known: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        for stream, top, n, lead in zip(streams["codes"], *(streams[c].to_pylist() for c in ("top", "n", "lead")), strict=True):
-            ids = np.zeros(top + 1, np.uint64)
-            ids[known["code"].to_numpy()] = known["id"].to_numpy()
-            planes = np.frombuffer(pa.decompress(stream.as_buffer(), 4 * n, "zstd"), np.uint8)
-            at = ids[np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()]
-            del planes
-            whole = at > 0
-            for k in range(2, longest + 1):
-                if len(at) < k:
-                    break
-                begins = len(at) - k + 1
-                right = whole[:begins].copy()
-                for j in range(1, k):
-                    right &= whole[j : begins + j]
-                right[: max(0, lead - k + 1)] = False
-                places = np.flatnonzero(right)
-                if not len(places):
-                    break
-                bits = width * k
-                keys, counts = qf.counted(qf.permuted(qf.packed((at[places + j] for j in range(k)), k, width), bits))
-                out += [(key[0].as_py(), k, *part) for part in qf.split(keys, counts, bits, bucket_bits[k])]
-        return _filters(out)
-
-    return count
+
+def _streamed(stream: bytes, n: int, ids: np.ndarray) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(stream, 4 * n, "zstd"), np.uint8)
+    return ids[np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()]
+
+
+def _filters_of(shard: int, at: np.ndarray, lead: int, lengths: range, width: int, bucket_bits: dict[int, int], pairs: np.ndarray | None) -> list[tuple]:
+    """Filters of the phrases of some lengths whose words are known and whose pairs may be frequent.
+
+    ``at`` are the ids of the words in order, 0 for an unknown one; ``pairs`` the bitmap of frequent pairs, if known.
+    """
+    out = []
+    linked = (at[:-1] > 0) & (at[1:] > 0)
+    if pairs is not None:
+        places = np.flatnonzero(linked)
+        first, second = _bits_of([at[places], at[places + 1]], width)
+        linked[places] = _holds(pairs, first) & _holds(pairs, second)
+    for k in lengths:
+        begins = len(at) - k + 1
+        if begins < 1:
+            break
+        right = linked[:begins].copy()
+        for j in range(1, k - 1):
+            right &= linked[j : begins + j]
+        right[: max(0, lead - k + 1)] = False
+        places = np.flatnonzero(right)
+        if not len(places):
+            continue
+        bits = width * k
+        keys, counts = qf.counted(qf.permuted(qf.packed((at[places + j] for j in range(k)), k, width), bits))
+        out += [(shard, k, *part) for part in qf.split(keys, counts, bits, bucket_bits[k])]
+    return out
+
+
+def _bits_of(columns: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of a pair in the bitmap."""
+    limbs = qf.permuted(qf.packed(columns, 2, width), 2 * width)
+    mixed = limbs[0] if len(limbs) == 1 else limbs[0] ^ (limbs[1] << np.uint64(7))
+    mask = np.uint64((1 << _BITMAP_BITS) - 1)
+    mixed = mixed * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(64 - _BITMAP_BITS)) & mask, (mixed >> np.uint64(32 - _BITMAP_BITS)) & mask
+
+
+def _holds(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bitmap[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+
+
+def _bitmap(pairs: DataFrame, width: int) -> np.ndarray:
+    """A bitmap of fixed size in which each of the pairs (``ids``) has its bits set; others may by chance."""
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << (_BITMAP_BITS - 3), np.uint8)
+        for batch in batches:
+            ids = batch.column(0).flatten().to_numpy().astype(np.uint64).reshape(-1, 2)
+            for places in _bits_of([ids[:, 0], ids[:, 1]], width):
+                np.bitwise_or.at(bits, places >> np.uint64(3), np.uint8(1) << (places & np.uint64(7)).astype(np.uint8))
+        parts = bits.reshape(-1, 1 << (_CHUNK_BITS - 3))
+        used = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([parts[k].tobytes() for k in used], pa.binary())], names=["chunk", "bits"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        parts = np.stack([np.frombuffer(x, np.uint8) for x in table["bits"].to_pylist()])
+        return pa.table({"chunk": table["chunk"][:1], "bits": pa.array([np.bitwise_or.reduce(parts).tobytes()], pa.binary())})
+
+    out = np.zeros((1 << (_BITMAP_BITS - _CHUNK_BITS), 1 << (_CHUNK_BITS - 3)), np.uint8)
+    schema = "chunk int, bits binary"
+    for row in pairs.select("ids").mapInArrow(chunks, schema).groupBy("chunk").applyInArrow(merge, schema).collect():
+        out[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
 
 
 def _filters(rows: list[tuple]) -> pa.Table:
@@ -174,31 +230,80 @@ def _resplit(width: int, bucket_bits: dict[int, int]):
     return resplit
 
 
-def phrase_filters(coded: DataFrame, dictionary: DataFrame, n_words: int, n_tokens: int, longest: int, group_entries: int, round_bits: int) -> tuple[DataFrame, int]:
-    """Rows of filters in which each phrase lies in one group of ``k`` and ``bucket``; and the bits of an id.
+_STREAM = "shard bigint, n bigint, lead int, ids binary"
+
+
+def _packed_ids(at: np.ndarray) -> bytes:
+    return pa.compress(at.astype("<u8").tobytes(), codec="zstd", asbytes=True)
+
+
+def _id_streams(coded: DataFrame, dictionary: DataFrame, n_words: int, broadcast_words: int) -> DataFrame:
+    """The shards as sequences of ids, 0 for ends of pieces and words that aren't frequent.
+
+    A dictionary of at most ``broadcast_words`` words is sent to all tasks. A larger one is joined with the words
+    of each shard, and a shard's codes meet its own words only.
+    """
+    kinds = [("shard", pa.int64()), ("n", pa.int64()), ("lead", pa.int32()), ("ids", pa.binary())]
+    streams = coded.filter("codes IS NOT NULL")
+    if n_words <= broadcast_words:
+        known: dict[str, dict[bytes, int]] = {}
+        for lang, word, number in dictionary.select("lang", "word", "id").collect():
+            known.setdefault(lang, {})[word.encode()] = number
+        sent = coded.sparkSession.sparkContext.broadcast(known)
+
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for shard, n, top, lead, stream, spelled in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                    at = _streamed(stream, n, _known(spelled, top, sent.value))
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip((shard, n, lead, _packed_ids(at)), kinds, strict=True)], names=[c for c, _ in kinds])
+            give_back()
+
+        return streams.select("shard", "n", "code", "lead", "codes", "words").mapInArrow(look_up, _STREAM)
+
+    def meet(key: tuple, own: pa.Table, words: pa.Table) -> pa.Table:
+        rows = []
+        for n, top, lead, stream in zip(*(own[c].to_pylist() for c in ("n", "top", "lead", "codes")), strict=True):
+            ids = np.zeros(top + 1, np.uint64)
+            ids[words["code"].to_numpy()] = words["id"].to_numpy()
+            rows.append((key[0].as_py(), n, lead, _packed_ids(_streamed(stream, n, ids))))
+        columns = zip(*rows, strict=True) if rows else [[]] * 4
+        return pa.table([pa.array(c, t) for c, (_, t) in zip(columns, kinds, strict=True)], names=[c for c, _ in kinds])
+
+    words = coded.filter("word IS NOT NULL").join(dictionary, ["lang", "word"]).select("shard", "code", "id")
+    streams = streams.select("shard", "codes", "code", "n", "lead").toDF("stream", "codes", "top", "n", "lead")
+    return streams.groupBy("stream").cogroup(words.groupBy("shard")).applyInArrow(meet, _STREAM)
+
+
+def phrase_filters(streams: DataFrame, width: int, lengths: range, n_tokens: int, group_entries: int, round_bits: int, pairs: np.ndarray | None) -> DataFrame:
+    """Rows of filters in which each phrase lies in one group of ``k`` and ``bucket``.
 
     The buckets are ranges of the permuted phrase. Their number follows from the number of words, so that a
     group has about ``group_entries`` at most, whatever the corpus' size, and copies of one phrase make no hot
     group: a shard holds it once. Where more buckets are needed than ``round_bits`` give, the filters are
     merged in rounds: those of some shards within a bucket, then split further.
     """
-    width = max(1, int(n_words).bit_length())
     wanted = max(0, math.ceil(math.log2(max(1, n_tokens) / group_entries)))
 
     def bits_of(most: int) -> dict[int, int]:
-        return {k: qf.bounded_bits(width * k, min(wanted, most)) for k in range(2, longest + 1)}
+        return {k: qf.bounded_bits(width * k, min(wanted, most)) for k in lengths}
 
-    words = coded.filter("word IS NOT NULL").join(dictionary, ["lang", "word"]).select("shard", "code", "id")
-    streams = coded.filter("codes IS NOT NULL").select("shard", "codes", "code", "n", "lead").toDF("stream", "codes", "top", "n", "lead")
-    grouped = streams.groupBy("stream").cogroup(words.groupBy("shard"))
     done = round_bits
-    filters = grouped.applyInArrow(_counter(width, longest, bits_of(done)), _FILTER)
+    first_bits = bits_of(done)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, n, lead, ids in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                at = np.frombuffer(pa.decompress(ids, 8 * n, "zstd"), np.uint64)
+                yield from _filters(_filters_of(shard, at, lead, lengths, width, first_bits, pairs)).to_batches()
+        give_back()
+
+    filters = streams.select("shard", "n", "lead", "ids").mapInArrow(count, _FILTER)
     while done < wanted:
         parts, done = 1 << (wanted - done), done + round_bits
         part = F.pmod(F.xxhash64("shard"), F.lit(parts))
         rows = filters.withColumn("part", part).groupBy("k", "bucket", "part")
         filters = rows.applyInArrow(_resplit(width, bits_of(done)), _FILTER)
-    return filters, width
+    return filters
 
 
 def frequent_phrases(filters: DataFrame, width: int, least: int) -> DataFrame:
@@ -244,6 +349,7 @@ def collocations(
     shard_tokens: int = 1 << 21,
     group_entries: int = 1 << 21,
     round_bits: int = 8,
+    broadcast_words: int = 500_000,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of the best phrases of 2 to ``longest`` words per language.
 
@@ -253,10 +359,11 @@ def collocations(
     first such cut counts). Phrases with ``least`` occurrences take part; one that lies in a longer one as
     frequent as itself is dropped. The first ``top`` stay, by score, count (both descending) and phrase.
 
-    Texts are coded once, in shards that have a dictionary of their own, and written; only distinct words
-    of a shard are joined with the corpus' frequent ones, so no dictionary is sent to all tasks. A shard's phrases of
-    frequent words become sorted counting quotient filters of packed word numbers, which groups by range of the
-    permuted phrase merge. Counts are whole numbers, and scores are exact in decimals of 38 digits.
+    Texts are coded once, in shards that have a dictionary of their own, and written. The corpus' frequent words are
+    sent to all tasks if they are ``broadcast_words`` at most, else joined with the distinct words of each shard. A
+    shard's phrases of frequent words become sorted counting quotient filters of packed word numbers, which groups by
+    range of the permuted phrase merge: first all pairs, then the longer ones whose pairs are all frequent by a bitmap of
+    fixed size, which passes some others but drops none. Counts are whole numbers, and scores are exact in decimals of 38 digits.
 
     A NULL language is ``und``; NULL and empty texts have no words; a text of any length is coded in
     slices; repeated rows count as often; an empty table gives no rows.
@@ -269,8 +376,13 @@ def collocations(
     totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent, n_words = _numbered(counted.filter(F.col("f") >= least))
     n_tokens = frequent.agg(F.sum("f")).first()[0] or 0
-    filters, width = phrase_filters(coded, frequent, n_words, n_tokens, longest, group_entries, round_bits)
-    found = stored(frequent_phrases(filters, width, least), "phrases-found")
+    width = max(1, int(n_words).bit_length())
+    streams = stored(_id_streams(coded, frequent, n_words, broadcast_words), "phrases-streams")
+    sizes = (n_tokens, group_entries, round_bits)
+    found = stored(frequent_phrases(phrase_filters(streams, width, range(2, 3), *sizes, None), width, least), "phrases-pairs")
+    if longest > 2:
+        longer = phrase_filters(streams, width, range(3, longest + 1), *sizes, _bitmap(found, width))
+        found = found.unionByName(stored(frequent_phrases(longer, width, least), "phrases-longer"))
     spelled = (
         found.select("ids", "a", F.posexplode("ids").alias("pos", "id"))
         .join(frequent, "id")

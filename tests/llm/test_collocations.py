@@ -57,7 +57,7 @@ def random_docs(seed, n):
     return [*out, ("en", None), (None, None), ("en", ""), ("fr", "one word"), ("en", "a a a a a a a a a a a")]
 
 
-@pytest.mark.parametrize("options", [{}, {"shard_tokens": 50}, {"group_entries": 8, "round_bits": 2}, {"longest": 2, "top": 3}])
+@pytest.mark.parametrize("options", [{}, {"shard_tokens": 50}, {"shard_tokens": 50, "broadcast_words": 0}, {"group_entries": 8, "round_bits": 2}, {"longest": 2, "top": 3}])
 def test_random_texts(spark, options):
     rows = random_docs(len(options), 90)
     frame = spark.createDataFrame([(lang, text, 1, "n") for lang, text in rows], "lang string, text string, n int, phrase string").repartition(3)
