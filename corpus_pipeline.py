@@ -2,9 +2,9 @@
 
 Each stage works on all that the one before kept, and returns the columns of ``documents``; the last
 returns the pieces of the packed sequences. A stage that drops documents drops whole rows and leaves
-the others as they are. Decisions are made row by row: a stage that needs them numbers its rows and writes
-the numbers with them, so rows without an id and rows that share one are told apart. Of equal and of similar
-documents the one with the smallest id stays, one without an id only where none has one, and one row of those that repeat.
+the others as they are. Decisions go by a key made of all of a row, so rows without an id and rows that
+share one are told apart. Of equal and of similar documents the one with the smallest id stays, one without an id only
+where none has one, and one row of those that repeat.
 """
 
 from __future__ import annotations
@@ -19,35 +19,33 @@ from clustertrace.llm.queries import packed, table
 from clustertrace.llm.shared import small_batches, stored
 from clustertrace.llm.toxicity import fit, without_toxic
 
-_ROW = "__row"
+_KEY, _ROW = "__key", "__row"
 _TEXT, _LANGUAGE, _HOST, _ID = "text", "lang", "source", "doc_id"
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a number for each row, written, so that it stays the same."""
-    return stored(docs.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a digest of the whole row."""
+    return docs.withColumn(_KEY, F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).cast("binary")))
 
 
-def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The documents whose numbers aren't listed; the list is written first, so that Spark knows its size."""
-    return docs.join(stored(rows, "dropped"), _ROW, "left_anti").drop(_ROW)
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The documents whose keys aren't listed; the list is written first, so that Spark knows its size."""
+    return _keyed(docs).join(stored(keys.distinct(), "dropped"), _KEY, "left_anti").drop(_KEY)
 
 
-def _others(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The numbers of all rows but one of each group, given as number and ``group``."""
-    ids = docs.select(_ROW, F.col(_ID).alias("id"))
-    order = F.struct(F.col("id").isNull(), "id", _ROW)
-    first = groups.join(ids, _ROW).groupBy("group").agg(F.min(order)[_ROW].alias("first"), F.count(F.lit(1)).alias("n"))
-    many = groups.join(first.filter("n > 1"), "group")
-    return many.filter(F.col(_ROW) != F.col("first")).select(_ROW)
+def _others(groups: DataFrame) -> DataFrame:
+    """The keys of all rows but one of each ``group``; given with their ids as ``id``."""
+    order = F.struct(F.col("id").isNull().alias("none"), "id", _KEY)
+    first = groups.groupBy("group").agg(F.min(order)[_KEY].alias("first"), F.min(_KEY).alias("least"), F.max(_KEY).alias("most"))
+    several = first.filter("least <> most").select("group", "first")
+    return groups.join(several, "group").filter(F.col(_KEY) != F.col("first")).select(_KEY)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in an identified language."""
     with small_batches(spark):
-        rows = _numbered(docs)
-        found = identify(rows.select(_ROW, _TEXT, _LANGUAGE, _HOST), id_col=_ROW)
-        return _without(rows, found.filter("NOT kept").select(_ROW))
+        found = identify(_keyed(docs).select(_KEY, _TEXT, _LANGUAGE, _HOST), id_col=_KEY)
+        return _without(docs, found.filter("NOT kept").select(_KEY))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,19 +55,23 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    rows = _numbered(docs)
-    found = exact_duplicates(rows.select(_ROW, _ID, _TEXT))
-    groups = stored(found.select(_ROW, F.col("duplicate.text_sha256").alias("group")), "equal")
-    return _without(rows, _others(rows, groups))
+    found = exact_duplicates(_keyed(docs).select(_KEY, _ID, _TEXT))
+    groups = stored(found.select(_KEY, F.col(_ID).alias("id"), F.col("duplicate.text_sha256").alias("group")), "equal")
+    kept = _keyed(_without(docs, _others(groups)))
+    # Rows that repeat as a whole share a key; one of them stays.
+    repeated = stored(groups.groupBy(_KEY).count().filter("count > 1").select(_KEY), "repeated")
+    once = kept.join(repeated, _KEY, "left_anti").unionByName(kept.join(repeated, _KEY, "left_semi").dropDuplicates([_KEY]))
+    return once.select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts."""
     with small_batches(spark):
-        rows = _numbered(docs)
+        rows = _keyed(docs).withColumn(_ROW, F.xxhash64(_KEY))
         found = similar_documents(rows.select(_ROW, _TEXT), id_col=_ROW)
-        groups = stored(found.select(_ROW, F.col("component_id").alias("group")), "similar")
-        return _without(rows, _others(rows, groups))
+        found = found.select(_ROW, F.col("component_id").alias("group"))
+        groups = found.join(rows.select(_ROW, _KEY, F.col(_ID).alias("id")), _ROW).select(_KEY, "id", "group")
+        return _without(docs, _others(stored(groups, "similar")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
