@@ -189,9 +189,7 @@ def _pack_partition(path: str, size: int, n_open: int, end_id: int, fan_in: int)
                 yield rows(full, kind, None)
         if waiting:
             yield rows([p for pieces in waiting.values() for p in pieces], kind, task // fan_in)
-        # The worker stays, and its next task may be another stage's.
-        del encoder
-        byte_level_ids.cache_clear()
+        encoder.forget()
         give_back()
 
     return pack
