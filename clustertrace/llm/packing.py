@@ -52,12 +52,11 @@ class ByteLevelIds:
 
     A text is cut where a space follows a word, which no merge crosses, and each unit is encoded
     once and remembered, up to ``remember`` units. Units beyond Latin letters, whose classes differ
-    between Unicode versions, go to the tokenizers library itself.
+    between Unicode versions, go to the tokenizers library itself, which is loaded with the first of them.
     """
 
     def __init__(self, path: str, remember: int = 150_000) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -67,10 +66,16 @@ class ByteLevelIds:
         self.special_re = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.plain = tiktoken.Encoding("plain", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
         self.piece = self.plain._core_bpe.encode_single_piece
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         self.remember = remember
         self.first, self.rest = _Units(self._unit, ""), _Units(self._unit, " ")
 
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _unit(self, unit: str) -> bytes:
         word = unit.rstrip(_MARKS)
         if unit[:1] == " " and word[1:].isalpha() and (word.isascii() or max(word) <= _LATIN):
@@ -155,6 +160,10 @@ class OpenWindows:
 _PIECE = ["start", "length", "doc_tokens", "sequence_id", "offset"]
 
 
+#: Bytes of ids that a task holds before it gives their pieces out.
+_HELD = 4_000_000
+
+
 def _pack_partition(path: str, size: int, n_open: int, end_id: int, fan_in: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = byte_level_ids(path)
@@ -182,7 +191,7 @@ def _pack_partition(path: str, size: int, n_open: int, end_id: int, fan_in: int)
                     if sequence not in windows.open:
                         full += waiting.pop(sequence)
                 held += len(ids)
-                if held > 16_000_000 and full:
+                if held > _HELD and full:
                     yield rows(full, kind, None)
                     full, held = [], 0
             if full:

@@ -50,15 +50,19 @@ def give_back() -> None:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
-    """Fewer rows in a batch between Spark and Python meanwhile, for what is run inside.
+def small_batches(spark: SparkSession, rows: int = 2000, size: str = "4m") -> Iterator[None]:
+    """Fewer rows and bytes in a batch between Spark and Python meanwhile, for what is run inside.
 
-    A batch is held several times over, by the executor and by its Python workers.
+    A batch is held several times over, by the executor and by its Python workers. A row longer than ``size`` is
+    a batch of its own.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = {key: spark.conf.get(key) for key in keys}
+    most = int(before[keys[0]])
+    spark.conf.set(keys[0], str(min(rows, most) if most > 0 else rows))
+    spark.conf.set(keys[1], size)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
