@@ -17,10 +17,11 @@ from clustertrace.llm.language_id import identify
 from clustertrace.llm.ngram_join import similar_documents
 from clustertrace.llm.queries import packed, table
 from clustertrace.llm.shared import small_batches, stored
-from clustertrace.llm.toxicity import fit, without_toxic
+from clustertrace.llm.toxicity import fit, score
 
 _KEY, _ROW = "__key", "__row"
 _TEXT, _LANGUAGE, _HOST, _ID = "text", "lang", "source", "doc_id"
+_TOXIC = 0.5
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -50,7 +51,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't find toxic."""
-    return without_toxic(docs, fit(docs, table(spark, sf_dir, "labels")))
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    with small_batches(spark):
+        scores = score(_keyed(docs).select(_KEY, _TEXT), model, id_col=_KEY)
+        return _without(docs, scores.filter(F.col("score") >= _TOXIC).select(_KEY))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
