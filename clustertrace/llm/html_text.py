@@ -20,9 +20,10 @@ CHROME, OPEN, ARTICLE = 0, 1, 2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)",
     re.S,
 )
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -51,6 +52,8 @@ _ONE_PARAGRAPH = set(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section "
     "table ul".split()
 )
+#: Elements inside which a paragraph that is open outside them isn't closed.
+_SCOPES = "applet button caption html marquee object table td template th".split()
 
 
 def _chrome_by_attributes(tag: str, text: str, in_article: bool) -> bool:
@@ -71,25 +74,41 @@ def _chrome_by_attributes(tag: str, text: str, in_article: bool) -> bool:
     return bool(found - {"header"} if in_article else found)
 
 
+def _tag_end(source: str, at: int, last: dict[str, int]) -> int:
+    """Where the attributes that begin at ``at`` end: at the next ``>`` outside quotes, else at the page's end.
+
+    ``last`` has the last place of either quote: one that isn't closed any more is a letter like others, so
+    nothing is read twice.
+    """
+    while stop := _STOP.search(source, at):
+        at, sign = stop.start(), stop[0]
+        if sign == ">":
+            return at
+        at = source.index(sign, at + 1) + 1 if at < last[sign] else at + 1
+    return len(source)
+
+
 def page_lines(source: str) -> list[tuple[str, int]]:
     """The lines of a page, one per block with text, and what markup says of each.
 
     Character references are decoded and each run of white space is one space. An article that opens
     inside a block which only its class calls chrome ends that block's claim, as such blocks are
-    often left open.
+    often left open. A tag that isn't closed ends with the page and is no text. The time is in
+    proportion to the page's length, whatever its markup.
     """
     lines: list[tuple[str, int]] = []
     parts: list[str] = []
     # Open elements, each with the state that holds inside it: whether a chrome element is open,
     # whether a block called chrome by its class is, and whether an article is.
     stack: list[tuple[str, tuple[bool, bool, bool]]] = [("", (False, False, False))]
-    n_open: dict[str, int] = {}
+    places: dict[str, list[int]] = {}  # where in the stack a tag's open elements are
+    last = {sign: source.rfind(sign) for sign in "\"'"}
     kind = OPEN
 
     def close(k: int) -> None:
         nonlocal kind
         for tag, _ in stack[k:]:
-            n_open[tag] -= 1
+            places[tag].pop()
         del stack[k:]
         by_tag, by_class, article = stack[-1][1]
         kind = CHROME if by_tag or by_class else ARTICLE if article else OPEN
@@ -113,31 +132,36 @@ def page_lines(source: str) -> list[tuple[str, int]]:
         if found[2] is None:
             continue
         tag = found[2].lower()
+        shut = _tag_end(source, at, last)
+        attributes = source[at:shut]
+        at = min(shut + 1, end)
         if found[1]:
             if tag not in _INLINE or kind == CHROME:
                 flush()
-            if n_open.get(tag):
-                close(max(k for k in range(len(stack)) if stack[k][0] == tag))
+            if places.get(tag):
+                close(places[tag][-1])
             continue
         if tag in _RAW:
             # Their content is no markup, up to their end tag.
-            if not found[3].endswith("/"):
-                last = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
-                at = last.end() if last else end
+            if not attributes.endswith("/"):
+                over = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
+                at = over.end() if over else end
             continue
         if tag not in _INLINE:
             flush()
-        if tag in _VOID or found[3].endswith("/") and tag not in _ROOTS | _CHROME_TAGS | {"div", "p", "span"}:
+        if tag in _VOID or attributes.endswith("/") and tag not in _ROOTS | _CHROME_TAGS | {"div", "p", "span"}:
             continue
-        if tag in _ONE_PARAGRAPH and any(t == "p" for t, _ in stack[-3:]):
-            close(max(k for k in range(len(stack)) if stack[k][0] == "p"))
+        if tag in _ONE_PARAGRAPH and places.get("p"):
+            scope = max((places[t][-1] for t in _SCOPES if places.get(t)), default=0)
+            if places["p"][-1] > scope:
+                close(places["p"][-1])
         by_tag, by_class, article = stack[-1][1]
         before = kind
         if tag in ("article", "main"):
             by_class, article = False, True
         elif tag in _CHROME_TAGS or tag == "header" and not article:
             by_tag = True
-        elif _chrome_by_attributes(tag, found[3], article):
+        elif _chrome_by_attributes(tag, attributes, article):
             by_class = True
         kind = CHROME if by_tag or by_class else ARTICLE if article else OPEN
         if kind != before and tag in _INLINE:
@@ -145,7 +169,7 @@ def page_lines(source: str) -> list[tuple[str, int]]:
             flush()
             kind = after
         stack.append((tag, (by_tag, by_class, article)))
-        n_open[tag] = n_open.get(tag, 0) + 1
+        places.setdefault(tag, []).append(len(stack) - 1)
     flush()
     return lines
 

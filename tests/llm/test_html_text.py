@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -43,12 +44,38 @@ def test_broken_markup():
     assert page_lines("") == [] and page_lines("   ") == [] and page_lines("plain") == [("plain", OPEN)]
     assert page_lines("<div class=ad>x<article><p>y</article>z") == [("x", CHROME), ("y", ARTICLE), ("z", CHROME)]
     assert page_lines("a</div></p>b<script>c") == [("a", OPEN), ("b", OPEN)]
-    assert page_lines("a<!-- b") == [("a", OPEN)] and page_lines("a<p class='x") == [("a<p class='x", OPEN)]
+    assert page_lines("a<!-- b") == [("a", OPEN)] and page_lines("a<p class='x") == [("a", OPEN)]
+    assert page_lines("a<p class='x>b</p>c") == [("a", OPEN), ("b", OPEN), ("c", OPEN)]
+    assert page_lines('<p class="ad"><a><b><i><u>x<div>y') == [("x", CHROME), ("y", OPEN)]
+    assert page_lines('<p class="ad">x<td><div>y') == [("x", CHROME), ("y", CHROME)]
     assert page_lines('<p role="navigation">a</p>b') == [("a", CHROME), ("b", OPEN)]
     deep = "<div>" * 20_000 + "x" + "</div>" * 10_000 + "</span>" * 20_000
     assert page_lines(deep) == [("x", OPEN)]
 
 
+HOSTILE = {
+    "quotes": lambda n: '<a "' * n + "'",
+    "hidden ends": lambda n: '<a ">" ' * n + "'",
+    "nested": lambda n: "<div>x" * n + "</div>" * n,
+    "paragraphs": lambda n: "<p><b>" * n + "<div>" * n,
+    "raw": lambda n: "<script>" + "</script " * n,
+    "inside": lambda n: "<nav>" + "<p>x<i>" * n + "</nav>",
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_time_in_proportion_to_length(name):
+    def seconds(n):
+        page, took = HOSTILE[name](n), []
+        for _ in range(3):
+            began = time.perf_counter()
+            page_lines(page)
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    assert seconds(80_000) < 20 * seconds(10_000) + 0.05
+
+
 def plain_pages(n=60):
     """Pages without telling markup: lines that every page of a host shares around lines of its own."""
     rows = []
