@@ -169,6 +169,70 @@ ORACLES: dict[str, str] = {
         )
         SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM ranked WHERE k = 1
     """,
+    "op7_ngram_join": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), runs AS (
+            SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1)) AS i FROM split
+        ), members AS MATERIALIZED (
+            SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle FROM runs
+        ), sets AS MATERIALIZED (
+            SELECT doc_id, list(shingle ORDER BY shingle) AS shingles FROM members GROUP BY doc_id
+        ), nodes AS MATERIALIZED (
+            SELECT shingles, min(doc_id) AS node, len(shingles) AS size FROM sets GROUP BY shingles
+        ), spread AS MATERIALIZED (
+            SELECT node, size, unnest(shingles) AS shingle FROM nodes
+        ), links AS MATERIALIZED (
+            SELECT x.node AS a, y.node AS b FROM spread x JOIN spread y ON x.shingle = y.shingle AND x.node <> y.node
+            GROUP BY x.node, x.size, y.node, y.size HAVING 100 * count(*) >= 75 * (x.size + y.size - count(*))
+        ), reached AS (
+            SELECT node, node AS far FROM nodes
+            UNION
+            SELECT reached.node, b FROM reached JOIN links ON a = far
+        ), least_of AS (
+            SELECT node, min(far) AS component_id FROM reached GROUP BY node
+        )
+        SELECT split.doc_id, coalesce(size, 0)::BIGINT AS n_shingles, coalesce(component_id, split.doc_id) AS component_id
+        FROM split LEFT JOIN sets USING (doc_id) LEFT JOIN nodes USING (shingles) LEFT JOIN least_of USING (node)
+    """,
+    "op8_embedding_dedup": """
+        WITH RECURSIVE usable AS MATERIALIZED (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS MATERIALIZED (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON len(x.v) = len(y.v) AND x.vec_id <> y.vec_id
+            WHERE list_cosine_similarity(x.v, y.v) >= 0.95
+        ), reached AS (
+            SELECT vec_id, vec_id AS far FROM embeddings
+            UNION
+            SELECT vec_id, b FROM reached JOIN links ON a = far
+        ), least_of AS (
+            SELECT vec_id, min(far) AS component_id FROM reached GROUP BY vec_id
+        ), counted AS (
+            SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+        )
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN least_of USING (vec_id) LEFT JOIN counted USING (vec_id)
+    """,
+    "op9_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+        ), coded AS (
+            -- Five hexadecimal digits are four letters of base 32.
+            SELECT page_id, payload, array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       (('0x' || substr(hex, (k // 4 * 5 + 1)::INTEGER, 5))::BIGINT >> (15 - k % 4 * 5)::INTEGER) % 32 + 1, 1)), '') AS payload_digest
+            FROM payloads
+        ), firsts AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM coded
+        )
+        SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM firsts
+    """,
     "op11_spelling_variants": r"""
         WITH RECURSIVE crc_table AS (
             SELECT list(v ORDER BY b) AS t

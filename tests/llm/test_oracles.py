@@ -1,0 +1,34 @@
+"""Queries against their SQL counterparts in another engine, on whole tables."""
+
+import duckdb
+import pytest
+
+from clustertrace.llm.queries import ORACLES, QUERIES
+
+
+@pytest.mark.parametrize("name", ["op7_ngram_join", "op8_embedding_dedup", "op9_warc"])
+def test_matches_sql(spark, sf_dir, name):
+    duck = duckdb.connect()
+    for table in ("documents", "embeddings", "pages"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    cursor = duck.execute(ORACLES[name])
+    columns = [c[0] for c in cursor.description]
+    result = QUERIES[name](spark, sf_dir)
+    assert sorted(columns) == sorted(result.columns)
+    assert sorted(map(tuple, result.select(columns).collect()), key=repr) == sorted(cursor.fetchall(), key=repr) != []
+
+
+@pytest.mark.parametrize(
+    ("vectors", "links"),
+    [
+        ([[1.0, 2, 3], [2.0, 4, 6], [1.0, 2], [1.0, 2, -3]], [1, 1, 0, 0]),
+        ([None, [], [0.0, 0], [1.0, None], [1.0, float("nan")], [1.0, float("inf")], [1.0, 0]], [0] * 7),
+    ],
+)
+def test_vectors_that_the_tables_do_not_hold(vectors, links):
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    duck.executemany("INSERT INTO embeddings VALUES (?, ?)", list(enumerate(vectors)))
+    rows = duck.execute(ORACLES["op8_embedding_dedup"] + " ORDER BY vec_id").fetchall()
+    assert [r[1] for r in rows] == links
+    assert [r[0] == r[2] for r in rows] == [r[3] for r in rows]
