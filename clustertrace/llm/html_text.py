@@ -241,12 +241,20 @@ def _subsequence(a: list[int], b: list[int], most_bits: int) -> np.ndarray:
     return out
 
 
-def shared_lines(own: list[int], sizes: list[int], others: list[tuple[str, list[int]]], path: str, alike: float) -> list[int]:
+def same_article(shared: np.ndarray, sizes: list[int], alike: float) -> bool:
+    """Whether the shared lines hold ``alike`` of the characters outside chrome."""
+    weight = np.abs(np.array(sizes))
+    return bool(weight[shared].sum() >= alike * weight.sum())
+
+
+def shared_lines(
+    own: list[int], sizes: list[int], others: list[tuple[str, list[int]]], path: str, alike: float
+) -> list[int] | None:
     """Positions of the open lines that a page shares with its nearest page.
 
     ``sizes`` are the lines' lengths, negative in an article and 0 in chrome. The others are tried in
-    the order of the path they have in common, then as given. One that shares ``alike`` of the
-    characters outside chrome is taken for the same article and passed over.
+    the order of the path they have in common, then as given. One that is the same article (see
+    ``same_article``) is passed over; None if all are.
     """
 
     def near(other: str) -> int:
@@ -255,12 +263,82 @@ def shared_lines(own: list[int], sizes: list[int], others: list[tuple[str, list[
             n += 1
         return n
 
-    weight = np.abs(np.array(sizes))
     for _, lines in sorted(others, key=lambda x: -near(x[0])):
         shared = common_lines(own, lines)
-        if weight[shared].sum() < alike * weight.sum():
+        if not same_article(shared, sizes, alike):
             return [k for k in np.flatnonzero(shared).tolist() if sizes[k] > 0]
-    return []
+    return None if others else []
+
+
+def _settle(batches: Iterator[pa.RecordBatch], partners: list[str], alike: float) -> Iterator[pa.RecordBatch]:
+    """Per page the positions that go, and whether it has partners but all are its own article; the others are left out."""
+    for batch in batches:
+        keys, hosts, gone, passed = [], [], [], []
+        for row in batch.to_pylist():
+            others = [(row[c]["path"], row[c]["lines"]) for c in partners if row[c] is not None]
+            found = shared_lines(row["lines"], row["sizes"], others, row["path"], alike)
+            if found != []:
+                keys.append(row["key"])
+                hosts.append(row["host"])
+                gone.append(found or [])
+                passed.append(found is None)
+        columns = {"key": (keys, pa.binary()), "host": (hosts, pa.string()), "gone": (gone, pa.list_(pa.int32())), "passed": (passed, pa.bool_())}
+        yield pa.RecordBatch.from_pydict({name: pa.array(values, kind) for name, (values, kind) in columns.items()})
+
+
+_SETTLED = "key binary, host string, gone array<int>, passed boolean"
+
+
+def _beyond_runs(near: DataFrame, passed: DataFrame, alike: float) -> DataFrame:
+    """For each page of ``passed`` the last page before its run and the first one behind it, as ``before`` and ``behind``.
+
+    A run is a stretch of a host's pages, in the order of paths, each the same article as the one before it.
+    ``near`` has all pages with their slice and ``p1``, the page before. Runs are followed within slices; a row
+    per slice tells the other slices of the host where runs begin in it.
+    """
+
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.select(["lines", "sizes", "p1"]).to_pylist()
+            begins = [
+                r["p1"] is None or not same_article(common_lines(r["lines"], r["p1"]["lines"]), r["sizes"], alike) for r in rows
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(begins, pa.bool_())], names=[*batch.schema.names, "begins"])
+
+    pages = near.select("key", "host", "slice", "path", "lines", "sizes", "p1")
+    pages = pages.join(passed.select("host").distinct(), "host", "left_semi").select(pages.columns)
+    page = "struct<path: string, lines: array<bigint>>"
+    schema = f"key binary, host string, slice int, path string, lines array<bigint>, sizes array<int>, p1 {page}"
+    runs = stored(pages.mapInArrow(begun, f"{schema}, begins boolean"), "runs")
+    order = F.when(F.col("begins"), F.struct("path", "key"))
+    # Wrapped, so that a run that nothing precedes is told from a page that begins none.
+    ahead, own = F.struct(F.col("p1").alias("page")), F.struct("path", "lines")
+    slices = runs.groupBy("host", "slice").agg(F.max_by(ahead, order).alias("ahead"), F.min_by(own, order).alias("first"))
+    earlier = Window.partitionBy("host").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("host").orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.select(
+        "host",
+        "slice",
+        F.last("ahead", ignorenulls=True).over(earlier).alias("ahead_of_slice"),
+        F.last("first", ignorenulls=True).over(later).alias("behind_slice"),
+    )
+    so_far = Window.partitionBy("host", "slice").orderBy("path", "key").rowsBetween(Window.unboundedPreceding, 0)
+    to_come = Window.partitionBy("host", "slice").orderBy(F.desc("path"), F.desc("key")).rowsBetween(Window.unboundedPreceding, -1)
+    found = runs.select(
+        "*",
+        F.last(F.when(F.col("begins"), ahead), ignorenulls=True).over(so_far).alias("ahead"),
+        F.last(F.when(F.col("begins"), own), ignorenulls=True).over(to_come).alias("next"),
+    )
+    found = found.join(passed.select("key"), "key", "left_semi").join(slices, ["host", "slice"], "left")
+    return found.select(
+        "key",
+        "host",
+        "path",
+        "lines",
+        "sizes",
+        F.coalesce("ahead", "ahead_of_slice")["page"].alias("before"),
+        F.coalesce("next", "behind_slice").alias("behind"),
+    )
 
 
 def main_text(
@@ -269,9 +347,13 @@ def main_text(
     url_col: str = "url",
     html_col: str = "html",
     alike: float = 0.8,
+    counts: bool = False,
 ) -> DataFrame:
     """Per page the id and URL columns and ``text``, its main text.
 
+    With ``counts`` also how many lines each rule settled: ``n_chrome`` and ``n_article`` by markup,
+    ``n_shared`` deleted by differencing, and ``n_open`` kept because they are not shared.
+
     A page is cut into lines, one per block. Markup decides first: lines in navigation, asides,
     footers, page headers, forms, hidden parts and blocks whose class, id or role names such a part
     or adverts, notices or comments are dropped; the other lines of an ``article`` or ``main`` stay,
@@ -279,22 +361,25 @@ def main_text(
     page is paired with the page of its host that is nearest by URL path (of the two before and the
     two after in the order of paths, the one with the longest common path that isn't the same
     article, see ``alike``), their lines are aligned by longest common subsequence, and shared open
-    lines are deleted. A page without such a neighbour keeps them. Kept lines are joined by spaces.
+    lines are deleted. Where all four are the same article, the pages next to the whole run of it are
+    tried, however far they are. A page without another article on its host keeps its open lines, as does
+    one that is alike both pages next to its run. Kept lines are joined by spaces.
 
     Only line hashes are sorted, in ranges of host and path, so a hot host spans many partitions;
     the ends of the ranges are matched by a second, small window. Pages with equal URL and HTML are
     one there. Then the pages are read again, and only pages with deletions need a row of the join.
 
-    NULL and empty pages have an empty text. NULL URLs and those without a host form one host of
+    NULL and empty pages and an empty table have no text; long pages are read whole, in time in proportion
+    to their length but for the alignment, which grows with the product of two pages' lines. NULL URLs and those without a host form one host of
     their own. Rows with a repeated or NULL id are treated one by one.
     """
-    key = F.xxhash64(text_or_empty(F.col(f"`{url_col}`")), text_or_empty(F.col(f"`{html_col}`")))
-    url = text_or_empty(F.col(f"`{url_col}`"))
+    url, source = (text_or_empty(F.col(f"`{c}`")) for c in (url_col, html_col))
+    key = F.unhex(F.md5(F.concat(F.length(url).cast("string"), F.lit(":"), url, source).cast("binary")))
     rows = pages.select(
         key.alias("key"),
         F.col(f"`{id_col}`").alias("id"),
         F.col(f"`{url_col}`").alias("url"),
-        text_or_empty(F.col(f"`{html_col}`")).alias("html"),
+        source.alias("html"),
         url_host(url).alias("host"),
         url_path(url).alias("path"),
     )
@@ -310,7 +395,7 @@ def main_text(
             yield pa.RecordBatch.from_arrays(arrays, names=["key", "host", "path", "lines", "sizes"])
 
     keyed = rows.select("key", "host", "path", "html").mapInArrow(
-        hashed, "key bigint, host string, path string, lines array<bigint>, sizes array<int>"
+        hashed, "key binary, host string, path string, lines array<bigint>, sizes array<int>"
     )
     ranged = stored(
         keyed.dropDuplicates(["key"]).repartitionByRange("host", "path", "key").withColumn("slice", F.spark_partition_id()),
@@ -332,34 +417,32 @@ def main_text(
     # What a slice has itself comes first; beyond its ends the neighbours of the ends hold.
     before, after = F.col("from_start"), F.col("in_slice") - F.col("from_start") + 1
     filled = {c: F.coalesce(c, F.when((before if c[0] == "p" else after) <= int(c[1]), F.col(f"end_{c}"))) for c in steps}
-    near = near.filter(F.exists("sizes", lambda x: x > 0)).select(
-        "key", "path", "lines", "sizes", *(filled[c].alias(c) for c in steps)
-    )
+    near = near.select("key", "host", "slice", "path", "lines", "sizes", *(filled[c].alias(c) for c in steps))
+    undecided = near.filter(F.exists("sizes", lambda x: x > 0)).drop("slice")
+    settled = stored(undecided.mapInArrow(lambda b: _settle(b, list(steps), alike), _SETTLED), "shared-lines")
+    gone, passed = settled.filter("NOT passed").select("key", "gone"), settled.filter("passed")
+    if not passed.isEmpty():
+        further = _beyond_runs(near, passed, alike).mapInArrow(lambda b: _settle(b, ["before", "behind"], alike), _SETTLED)
+        gone = gone.unionByName(stored(further.filter("NOT passed").select("key", "gone"), "shared-further"))
 
-    def decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, gone = [], []
-            for row in batch.to_pylist():
-                others = [(row[c]["path"], row[c]["lines"]) for c in steps if row[c] is not None]
-                found = shared_lines(row["lines"], row["sizes"], others, row["path"], alike)
-                if found:
-                    keys.append(row["key"])
-                    gone.append(found)
-            arrays = [pa.array(keys, pa.int64()), pa.array(gone, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["key", "gone"])
-
-    gone = stored(near.mapInArrow(decided, "key bigint, gone array<int>"), "shared-lines")
+    settled_by = ("n_chrome", "n_article", "n_shared", "n_open")
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
+            texts, numbers = [], []
             for source, dropped in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 without = set(dropped or ())
-                kept = (t for k, (t, kind) in enumerate(page_lines(source)) if kind != CHROME and k not in without)
-                texts.append(" ".join(kept))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["id", "url", "text"])
+                lines = page_lines(source)
+                texts.append(" ".join(t for k, (t, kind) in enumerate(lines) if kind != CHROME and k not in without))
+                kinds = np.bincount([kind for _, kind in lines], minlength=3)
+                numbers.append((kinds[CHROME], kinds[ARTICLE], len(without), kinds[OPEN] - len(without)))
+            arrays = [*batch.columns[:2], pa.array(texts, pa.string())]
+            if counts:
+                arrays += [pa.array(column, pa.int64()) for column in np.array(numbers, np.int64).reshape(-1, 4).T]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "url", "text", *settled_by][: len(arrays)])
 
     kind = pages.schema[id_col].dataType.simpleString()
     out = rows.join(gone, "key", "left").select("id", F.col("url").cast("string"), "html", "gone")
-    out = out.mapInArrow(extracted, f"id {kind}, url string, text string")
+    more = "".join(f", {c} bigint" for c in settled_by) if counts else ""
+    out = out.mapInArrow(extracted, f"id {kind}, url string, text string{more}")
     return out.withColumnsRenamed({"id": id_col, "url": url_col})

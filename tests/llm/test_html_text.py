@@ -107,6 +107,30 @@ def test_copies_are_no_neighbours(spark):
             assert got[r[0]] == got[100 + r[0]] == r[5]
 
 
+@pytest.mark.parametrize("one_slice", [True, False])
+def test_partners_beyond_a_run_of_near_copies(spark, one_slice):
+    """Articles of a host in runs of one to nine near copies under neighbouring paths."""
+    rows, n = [], 0
+    for host in ("a.net", "b.net"):
+        for article, copies in enumerate([6, 1, 9, 2, 5, 7]):
+            for copy in range(copies):
+                own = [f"article {article} of {host}, sentence {x}, as long as they are" for x in range(8)] + [f"copy {copy} of {article}"]
+                lines = [f"menu of {host}", *own[:4], "all rights", *own[4:], "end"]
+                rows.append((n, f"http://{host}/{article}/{copy}", "".join(f"<div>{x}</div>" for x in lines), "x", 1, " ".join(own)))
+                n += 1
+    rows += [(n + k, f"http://c.net/{k}", "<div>the only article of this host</div>" + f"<div>{k}</div>", "x", 1, None) for k in range(7)]
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(one_slice).lower())
+    try:
+        got = main_text(spark.createDataFrame([r[:5] for r in rows], SCHEMA).repartition(5), counts=True).collect()
+    finally:
+        spark.conf.set(name, before)
+    text = {r["page_id"]: r["text"] for r in got}
+    assert text == {r[0]: r[5] or f"the only article of this host {r[0] - n}" for r in rows}
+    assert {(r["n_chrome"], r["n_article"], r["n_shared"], r["n_open"]) for r in got if r["page_id"] < n} == {(0, 0, 3, 9)}
+
+
 def test_marked_articles_keep_what_they_share(spark):
     body = "<nav>menu</nav><article><p>shared words</p><p>own {}</p></article><div>foot</div>"
     frame = spark.createDataFrame([(k, f"http://a/{k}", body.format(k), "x", 1) for k in range(3)], SCHEMA)
