@@ -95,24 +95,43 @@ def largest_of_texts(scores: np.ndarray, text: np.ndarray, n_texts: int) -> np.n
     return out
 
 
+def by_length(counts: np.ndarray, rise: float, usual: float) -> np.ndarray:
+    """What the worst of so many segments scores more than the worst of a usual number, by chance."""
+    return rise * np.log(np.maximum(counts, usual) / usual)
+
+
+def tail_rise(scores: np.ndarray) -> float:
+    """Mean excess over the 80 % quantile: the scale of an exponential tail, and so the rise of a maximum."""
+    over = scores - np.quantile(scores, 0.8) if len(scores) else scores
+    return float(over[over > 0].mean()) if (over > 0).any() else 0.0
+
+
 @dataclass
 class Model:
-    """Weight of each n-gram's vector in the difference of the two logits, their bias, and what empty texts get."""
+    """Weight of each n-gram's vector in the difference of the two logits, their bias, and what empty texts get.
+
+    The worst of many segments scores higher by chance: by ``rise`` for each factor e in the number of segments
+    beyond ``usual``, which is taken off again.
+    """
 
     weights: np.ndarray
     bias: float
     empty: float
     bits: int
     segment: int
+    rise: float = 0.0
+    usual: float = 1.0
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        """Probability of the toxic class in a text's most toxic segment."""
+        """Probability of the toxic class in a text's most toxic segment, given how many it has."""
         out = np.empty(len(texts))
         for first, data, bounds in slices(texts):
             sub = Subwords(data, bounds, self.bits, self.segment)
             best = largest_of_texts(sub.segment_scores(self.weights), sub.segment_text, sub.n_texts)
             some = np.isfinite(best)
-            logit = np.clip(np.where(some, best, 0) + self.bias, -500, 500)
+            counts = np.bincount(sub.segment_text, minlength=sub.n_texts)
+            logit = np.where(some, best, 0) + self.bias - by_length(counts, self.rise, self.usual)
+            logit = np.clip(logit, -500, 500)
             out[first : first + len(best)] = np.where(some, 1 / (1 + np.exp(-logit)), self.empty)
         return out
 
@@ -137,7 +156,8 @@ def train(
 
     The unit is a segment of ``segment`` words. Labels are of texts, so the first epochs take every
     segment of a toxic text as toxic, and the later ones only its highest-scoring segment; of the
-    other texts, random segments and the highest-scoring ones are taken. Without both classes the
+    other texts, random segments and the highest-scoring ones are taken. An eighth of the other texts is left
+    out of all epochs and tells how their worst score rises with the number of segments. Without both classes the
     score is the share of toxic labels, 0 without labels. A text without words gets that share, below 0.5 at most.
     """
     toxic = np.asarray(toxic, bool)
@@ -193,7 +213,8 @@ def train(
         weights, _ = folded()
         return np.add.reduceat(weights[grams], starts) / (counts + PAD)
 
-    of_toxic, of_clean = np.flatnonzero(positive), np.flatnonzero(~positive)
+    unseen = ~toxic & (rng.random(len(toxic)) < 0.125)
+    of_toxic, of_clean = np.flatnonzero(positive), np.flatnonzero(~positive & ~unseen[owner])
     for epoch in range(epochs):
         if epoch < 2 or not len(of_clean):
             chosen = of_toxic
@@ -203,7 +224,7 @@ def train(
             order = np.lexsort((score, owner))
             tops = order[np.append(owner[order][1:] != owner[order][:-1], True)]
             chosen = np.repeat(tops[positive[tops]], 4)
-            clean = np.concatenate([tops[~positive[tops]], rng.choice(of_clean, min(len(of_clean), clean_segments))])
+            clean = np.concatenate([tops[~(positive[tops] | unseen[owner[tops]])], rng.choice(of_clean, min(len(of_clean), clean_segments))])
         pick = np.concatenate([chosen, clean])
         label = np.concatenate([np.ones(len(chosen), int), np.zeros(len(clean), int)])
         order = rng.permutation(len(pick))[:epoch_segments]
@@ -213,7 +234,10 @@ def train(
     weights, shift = folded()
     best = largest_of_texts(every_score() + shift, owner, len(toxic))
     some = np.isfinite(best)
-    return Model(weights, shift - _cut(best[some], toxic[some]), min(share, 0.49), bits, segment)
+    per_text = np.bincount(owner, minlength=len(toxic))
+    rise, usual = tail_rise(best[some & unseen]), float(per_text[some].mean()) if some.any() else 1.0
+    best = best - by_length(per_text, rise, usual)
+    return Model(weights, shift - _cut(best[some], toxic[some]), min(share, 0.49), bits, segment, rise, usual)
 
 
 def _cut(scores: np.ndarray, toxic: np.ndarray) -> float:

@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clustertrace.llm.queries import op6_toxicity
-from clustertrace.llm.toxicity import Model, fit, held_out, score, train, without_toxic
+from clustertrace.llm.toxicity import Model, by_length, fit, held_out, score, tail_rise, train, without_toxic
 
 
 def test_held_out_accuracy(spark):
@@ -33,7 +33,28 @@ def test_long_clean_texts(spark):
         if words >= 20_000:
             texts, words = [*texts, []], 0
     long = model.scores(pa.array([" ".join(x) for x in texts[:-1]]))
-    assert len(long) >= 10 and np.mean(long >= 0.5) <= 0.3
+    assert len(long) >= 10 and np.mean(long >= 0.5) <= 0.05
+
+
+def test_the_worst_of_many_segments_is_higher_by_chance():
+    rng = np.random.default_rng(5)
+    rise = tail_rise(rng.exponential(1.5, 20_000))
+    assert abs(rise - 1.5) < 0.1
+    usual, many = (rng.exponential(1.5, (400, n)).max(1).mean() for n in (100, 10_000))
+    assert abs(by_length(np.array([10_000]), rise, 100)[0] - (many - usual)) < 0.5
+    assert by_length(np.array([0, 1, 100]), rise, 100).tolist() == [0, 0, 0]
+    assert tail_rise(np.empty(0)) == tail_rise(np.ones(5)) == 0
+
+
+def test_a_long_toxic_text_is_still_found():
+    """Clean texts of thousands of words, each followed by a clearly toxic line."""
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("aeiourtnsl"), rng.integers(3, 8))) for _ in range(400)]
+    texts = [" ".join([*rng.choice(words, 40), *(["worthless moron"] if k < 200 else [])]) for k in range(600)]
+    model = train(pa.array(texts), np.arange(600) < 200)
+    long = [" ".join(rng.choice(words, 8_000)) for _ in range(20)]
+    assert (model.scores(pa.array(long)) < 0.5).all()
+    assert (model.scores(pa.array([f"{x} worthless moron worthless moron" for x in long])) >= 0.5).all()
 
 
 def test_segments_of_an_epoch_are_parameters():
