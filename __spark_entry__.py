@@ -59,6 +59,7 @@ except ModuleNotFoundError as missing:
 
 PLACES = 8
 CELL = 0.0007071067811865476
+OPEN_FILES, _OPEN_FILES = 16, "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def _task_changes(task: DataFrame) -> DataFrame:
@@ -144,10 +145,18 @@ def _sums(rows: DataFrame, by: str, *columns: str) -> DataFrame:
 
 
 def _written(lines: DataFrame, name: str, by: str | None = None, **options: str) -> str:
-    """Lines stored as trace files by Spark's own writer: a folder, with one inside per value of ``by``."""
-    path = new_path(lines.sparkSession, name)
+    """Lines stored as trace files by Spark's own writer: a folder, with one inside per value of ``by``.
+
+    A task keeps a file open per value, up to ``OPEN_FILES``; it sorts its rows by the value, and spills, only beyond that.
+    """
+    spark = lines.sparkSession
+    path, before = new_path(spark, name), spark.conf.get(_OPEN_FILES)
     writer = lines.write.options(**options)
-    (writer.partitionBy(by) if by else writer).text(path)
+    spark.conf.set(_OPEN_FILES, str(OPEN_FILES))
+    try:
+        (writer.partitionBy(by) if by else writer).text(path)
+    finally:
+        spark.conf.set(_OPEN_FILES, before)
     return path
 
 
@@ -219,9 +228,12 @@ def _task_sums(rows: DataFrame) -> DataFrame:
 
 
 def _task_parts(task: DataFrame) -> DataFrame:
-    """Task events in many folders and files, some read by a glob and the others by a list."""
+    """Task events in many folders and compressed files, some read by a glob and the others by a list.
+
+    A compressed file can't be split, so none holds more lines than a task reads well; all are written.
+    """
     spark, lines = task.sparkSession, task.select(_task_line().alias("line"), (F.col("job_id") % 5).alias("part"))
-    path = _written(lines, "task_parts", "part")
+    path = _written(lines, "task_parts", "part", compression="snappy", maxRecordsPerFile="2000000")
     read = {"glob": f"{path}/part=[0-2]/part-*", "list": [f"{path}/part=3", f"{path}/part=4"]}
     sums = [
         _sums(read_task_events(spark, paths), "event_type", "time", "job_id", "machine_id", "priority").withColumn("way", F.lit(way))

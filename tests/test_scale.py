@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
@@ -162,6 +163,35 @@ def test_source_is_read_once_for_the_sliced_windows(spark, sf_dir):
     assert "ReusedExchange" in final
 
 
+def test_task_parts_are_written_unsorted_and_compressed(spark, monkeypatch):
+    """A sort by folder would spill, and plain lines are four times as long."""
+    key, seen, text = entry_module._OPEN_FILES, [], DataFrameWriter.text
+
+    def spied(writer, path, *args, **kwargs):
+        seen.append((path, int(spark.conf.get(key))))
+        return text(writer, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "text", spied)
+    before, n, job = spark.conf.get(key), 20_000, F.col("id") % 1000
+    some = {"time": "id", "job_id": "job", "task_index": "id % 7", "machine_id": "id % 90", "event_type": "id % 5"}
+    some |= {"scheduling_class": "id % 4", "priority": "id % 12", "cpu_request": "id / 400.5"}
+    tasks = spark.range(0, n, 1, 3).withColumn("job", job).selectExpr(*(f"{v} AS {k}" for k, v in some.items()))
+    rows = entry_module._task_parts(tasks).collect()
+    assert spark.conf.get(key) == before
+    [(path, open_files)] = seen
+    assert open_files >= 5
+    files = spark.read.text(path).inputFiles()
+    assert len(files) == 15 and all(f.endswith(".snappy") for f in files)
+    assert {w: sum(r["n"] for r in rows if r["way"] == w) for w in ("glob", "list")} == {"glob": n * 3 // 5, "list": n * 2 // 5}
+    assert sum(r["sum_time"] for r in rows) == n * (n - 1) // 2
+
+
+def test_folders_beyond_the_open_files_are_written_whole(spark):
+    lines = spark.range(0, 6000, 1, 2).selectExpr("CAST(id AS STRING) AS line", "id % (2 * 16 + 3) AS part")
+    back = spark.read.text(entry_module._written(lines, "parts", "part")).selectExpr("CAST(value AS BIGINT) AS id", "part")
+    assert back.count() == 6000 and back.filter("id % 35 = part").distinct().count() == 6000
+
+
 def test_one_machine_with_most_of_the_events(spark):
     """A hot machine and a hot instant, against the same plan without any slices."""
     hot = F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 40)
