@@ -19,9 +19,11 @@ from clustertrace.llm.queries import packed, table
 from clustertrace.llm.shared import small_batches, stored
 from clustertrace.llm.toxicity import fit, score
 
-_KEY, _ROW = "__key", "__row"
+_KEY, _ROW, _AT, _WORD, _BITS = "__key", "__row", "__at", "__word", "__bits"
 _TEXT, _LANGUAGE, _HOST, _ID = "text", "lang", "source", "doc_id"
 _TOXIC = 0.5
+#: Log of the bits that tell which rows a list of keys may hold: 262,144 words at most are sent to tasks.
+_BITMAP = 24
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -29,9 +31,27 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn(_KEY, F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).cast("binary")))
 
 
+def _split(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The keyed documents that aren't among ``keys`` for certain, and those that may be.
+
+    A bitmap of the keys' hashes, of bounded size, tells them apart, so whole rows of the former needn't be shuffled
+    however long the list is.
+    """
+    at = F.pmod(F.xxhash64(_KEY), F.lit(1 << _BITMAP))
+    word, bit = F.shiftright(_AT, 6).alias(_WORD), (F.col(_AT) % 64).cast("int")
+    set_bits = F.bit_or(F.expr(f"shiftleft(1L, CAST({_AT} % 64 AS INT))")).alias(_BITS)
+    bitmap = keys.select(at.alias(_AT)).groupBy(word).agg(set_bits)
+    rows = _keyed(docs).withColumn(_AT, at).withColumn(_WORD, word).join(F.broadcast(bitmap), _WORD, "left")
+    listed = F.coalesce(F.getbit(_BITS, bit) == 1, F.lit(False))
+    columns = [F.col(f"`{c}`") for c in (*docs.columns, _KEY)]
+    return rows.filter(~listed).select(*columns), rows.filter(listed).select(*columns)
+
+
 def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The documents whose keys aren't listed; the list is written first, so that Spark knows its size."""
-    return _keyed(docs).join(stored(keys.distinct(), "dropped"), _KEY, "left_anti").drop(_KEY)
+    dropped = stored(keys.distinct(), "dropped")
+    clear, others = _split(docs, dropped)
+    return clear.unionByName(others.join(dropped, _KEY, "left_anti")).drop(_KEY)
 
 
 def _others(groups: DataFrame) -> DataFrame:
@@ -61,11 +81,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     found = exact_duplicates(_keyed(docs).select(_KEY, _ID, _TEXT))
     groups = stored(found.select(_KEY, F.col(_ID).alias("id"), F.col("duplicate.text_sha256").alias("group")), "equal")
-    kept = _keyed(_without(docs, _others(groups)))
+    dropped = stored(_others(groups).distinct(), "dropped")
     # Rows that repeat as a whole share a key; one of them stays.
-    repeated = stored(groups.groupBy(_KEY).count().filter("count > 1").select(_KEY), "repeated")
-    once = kept.join(repeated, _KEY, "left_anti").unionByName(kept.join(repeated, _KEY, "left_semi").dropDuplicates([_KEY]))
-    return once.select(docs.columns)
+    repeated = groups.groupBy(_KEY).count().filter("count > 1").select(_KEY)
+    clear, others = _split(docs, stored(dropped.unionByName(repeated), "listed"))
+    once = others.join(dropped, _KEY, "left_anti").dropDuplicates([_KEY])
+    return clear.unionByName(once).drop(_KEY)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,6 +65,65 @@ def test_run(stages, spark, sf_dir):
     assert set(columns) <= set(rows.columns)
 
 
+def shuffled(frame):
+    """Rows that the joins and groupings of a frame write to shuffles, by the final plan's metrics."""
+    frame.collect()
+    plan, rows, seen = frame._jdf.queryExecution().executedPlan(), 0, []
+    nodes = [plan]
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        elif name in ("ShuffleQueryStage", "BroadcastQueryStage"):
+            nodes.append(node.plan())
+        else:
+            if name == "Exchange" and node.id() not in seen:
+                seen.append(node.id())
+                rows += node.metrics().apply("shuffleRecordsWritten").value()
+            children = node.children()
+            nodes += [children.apply(k) for k in range(children.size())]
+    return rows
+
+
+@pytest.mark.parametrize("share", [0, 10, 1])
+def test_texts_that_stay_are_not_shuffled(spark, monkeypatch, share):
+    """However long the list of dropped keys is; with few bits texts that stay are compared as well, and stay."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    rows = [(k if k % 9 else None, f"text {k} " * 20, "`x`") for k in range(3000)]
+    docs = stored(spark.createDataFrame([*rows, rows[4], rows[10]], "doc_id bigint, text string, `a.b` string"), "docs")
+    lost = docs.filter(F.expr(f"text RLIKE 'text [0-9]*0 ' AND {share} > 0") if share != 1 else F.lit(True))
+    keys = corpus_pipeline._keyed(lost).select("__key")
+    spark.conf.set(threshold, "-1")
+    try:
+        for bits in (24, 6):
+            monkeypatch.setattr(corpus_pipeline, "_BITMAP", bits)
+            left = corpus_pipeline._without(docs, keys)
+            expected = sorted(map(str, docs.exceptAll(lost).collect()))
+            assert sorted(map(str, left.collect())) == expected and left.columns == docs.columns
+            n = shuffled(left)
+            # The keys of the list and the words of the bitmap besides.
+            assert bits == 6 or n <= 4 * lost.count()
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_exact_dedup_shuffles_few_whole_rows(spark, sf_dir):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    rows = [(k, f"text {k} " * 20) for k in range(2000)]
+    rows += [(k + 5000, rows[k][1]) for k in range(100)] + rows[200:250] + [(None, rows[300][1])]
+    docs = stored(spark.createDataFrame(rows, "doc_id bigint, text string"), "docs")
+    spark.conf.set(threshold, "-1")
+    try:
+        left = corpus_pipeline.exact_dedup(spark, docs, sf_dir)
+        assert sorted(map(tuple, left.collect())) == sorted(rows[:2000])
+        assert 100 <= shuffled(left) <= 1200
+    finally:
+        spark.conf.set(threshold, before)
+
+
 def test_odd_documents_pass_every_stage(spark, odd, none, documents, sf_dir):
     """Rows are decided one by one, also where ids are NULL or repeated."""
     english = [r["text"] for r in documents.filter("lang = 'en' AND length(text) > 900").orderBy("doc_id").limit(6).collect()]
