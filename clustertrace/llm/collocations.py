@@ -5,23 +5,29 @@ from __future__ import annotations
 import math
 import pickle
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clustertrace.llm import quotient_filter as qf
-from clustertrace.llm.shared import give_back, stored, text_or_empty
+from clustertrace.llm.shared import give_back, small_batches, stored, text_or_empty
 
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _ENDS = b",;:!?\n\x0b\x0c\r"
 #: Lower-cases A-Z and makes every end of a piece a full stop.
 _PLAIN = bytes.maketrans(_UPPER + _ENDS, _UPPER.lower() + b"." * len(_ENDS))
 _AT_ONCE = 1 << 20
-_CODED = "shard bigint, lang string, word string, code int, n bigint, codes binary, lead int, words binary"
+#: Rows of words, and bytes of filters, that go to Spark at once.
+_WORDS_AT_ONCE = 1 << 14
+_FILTERS_AT_ONCE = 1 << 22
+_CODED = "shard bigint, lang string, word string, code int, n bigint, codes binary, lead int, words binary, piece int"
+#: Tables with long binary rows: pages of about a megabyte, compressed without buffers of a page's size outside the heap, read in small steps.
+_SMALL_PAGES = {"compression": "zstd", "parquet.page.size.row.check.min": "1", "parquet.read.allocation.size": str(1 << 18)}
 _BITMAP_BITS = 25
 _CHUNK_BITS = 15
 _FILTER = "shard bigint, k int, bucket bigint, filter binary"
@@ -67,38 +73,61 @@ class _Shard:
             self.words[lang] = _Words(self.taken)
         self.codes.extend(map(self.words[lang].__getitem__, tokens))
 
-    def rows(self, name: int) -> Iterator[pa.RecordBatch]:
-        """A row per word, then one with all codes, their number and the largest."""
+    def rows(self, name: int, piece_tokens: int, context: int) -> Iterator[pa.RecordBatch]:
+        """A row per word, then one for each piece of ``piece_tokens`` codes: their number, the largest, and their words.
+
+        A piece begins with the last ``context`` codes of the one before, which are its ``lead``.
+        """
         codes = np.frombuffer(self.codes, np.uint32)
         n = np.bincount(codes[self.lead :], minlength=self.taken[0] + 1)
-        for lang, own in self.words.items():
-            words = [w for w in own if w != b"."]
-            at = np.fromiter((own[w] for w in words), np.int32, len(words))
-            yield _batch(name, len(words), lang, pa.array(words, pa.binary()).cast(pa.string()), at, n[at], None, None, None)
+        spelled, langs = [b""] * (self.taken[0] + 1), np.zeros(self.taken[0] + 1, np.int32)
+        for number, (lang, own) in enumerate(self.words.items()):
+            every = [w for w in own if w != b"."]
+            for begin in range(0, len(every), _WORDS_AT_ONCE):
+                words = every[begin : begin + _WORDS_AT_ONCE]
+                at = np.fromiter((own[w] for w in words), np.int32, len(words))
+                langs[at] = number
+                for word, code in zip(words, at.tolist(), strict=True):
+                    spelled[code] = word
+                yield _batch(name, len(words), lang, pa.array(words, pa.binary()).cast(pa.string()), at, n[at], None)
+        for piece, end in enumerate(range(piece_tokens, len(codes) + piece_tokens, piece_tokens)):
+            begin = max(0, end - piece_tokens - context)
+            lead = end - piece_tokens - begin if piece else self.lead
+            yield self._piece(name, piece, lead, codes[begin:end], spelled, langs)
+
+    def _piece(self, name: int, piece: int, lead: int, codes: np.ndarray, spelled: list[bytes], langs: np.ndarray) -> pa.RecordBatch:
         # The upper bytes are mostly 0, as frequent words come early; so they are laid together.
         planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
         stream = pa.compress(planes, codec="zstd", asbytes=True)
-        spelled = pickle.dumps([(lang, b"\n".join(own), list(own.values())) for lang, own in self.words.items()])
-        spelled = len(spelled).to_bytes(8, "little") + pa.compress(spelled, codec="zstd", asbytes=True)
-        yield _batch(name, 1, None, None, [self.taken[0]], [len(codes)], [stream], [self.lead], [spelled])
-
-
-def _batch(name: int, size: int, lang, words, codes, n, stream, lead, spelled) -> pa.RecordBatch:
+        used = np.unique(codes)
+        used, words = used[used > 0], []
+        for number, lang in enumerate(self.words):
+            own = used[langs[used] == number].tolist()
+            if own:
+                words.append((lang, b"\n".join([spelled[code] for code in own]), own))
+        words = pickle.dumps(words)
+        words = len(words).to_bytes(8, "little") + pa.compress(words, codec="zstd", asbytes=True)
+        return _batch(name, 1, None, None, [int(codes.max(initial=0))], [len(codes)], ([stream], [lead], [words], [piece]))
+
+
+def _batch(name: int, size: int, lang, words, codes, n, piece) -> pa.RecordBatch:
     none = [None] * size
+    stream, lead, spelled, number = piece or [none] * 4
     columns = [
         pa.array([name] * size, pa.int64()),
         pa.array([lang] * size, pa.string()),
         words if words is not None else pa.array(none, pa.string()),
-        pa.array(codes if codes is not None else none, pa.int32()),
-        pa.array(n if n is not None else none, pa.int64()),
-        pa.array(stream or none, pa.binary()),
-        pa.array(lead or none, pa.int32()),
-        pa.array(spelled or none, pa.binary()),
+        pa.array(codes, pa.int32()),
+        pa.array(n, pa.int64()),
+        pa.array(stream, pa.binary()),
+        pa.array(lead, pa.int32()),
+        pa.array(spelled, pa.binary()),
+        pa.array(number, pa.int32()),
     ]
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _CODED.split(", ")])
 
 
-def _coder(shard_tokens: int, context: int):
+def _coder(shard_tokens: int, piece_tokens: int, context: int):
     """Codes the texts of a task, in shards of about ``shard_tokens`` words.
 
     A text that goes on in the next shard leaves it its last ``context`` words, which are counted there no more.
@@ -111,7 +140,7 @@ def _coder(shard_tokens: int, context: int):
                 lang, tail = lang.as_py(), []
                 for data in _slices(text.as_buffer().to_pybytes().translate(_PLAIN)):
                     if len(shard.codes) >= shard_tokens:
-                        yield from shard.rows(first + made)
+                        yield from shard.rows(first + made, piece_tokens, context)
                         made, shard = made + 1, _Shard()
                         shard.add(lang, tail)
                         shard.lead = len(tail)
@@ -120,14 +149,14 @@ def _coder(shard_tokens: int, context: int):
                     tail = (tail + tokens[-context:])[-context:]
                 shard.codes.append(0)
         if shard.codes:
-            yield from shard.rows(first + made)
+            yield from shard.rows(first + made, piece_tokens, context)
         give_back()
 
     return code
 
 
 def _known(spelled: bytes, top: int, dictionary: dict) -> np.ndarray:
-    """The ids of a shard's codes, 0 for words that the dictionary hasn't."""
+    """The ids of a piece's codes, 0 for words that the dictionary hasn't."""
     size, ids = int.from_bytes(spelled[:8], "little"), np.zeros(top + 1, np.uint64)
     for lang, words, codes in pickle.loads(pa.decompress(spelled[8:], size, "zstd", asbytes=True)):
         own = dictionary.get(lang, {})
@@ -142,12 +171,11 @@ def _streamed(stream: bytes, n: int, ids: np.ndarray) -> np.ndarray:
     return ids[np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()]
 
 
-def _filters_of(shard: int, at: np.ndarray, lead: int, lengths: range, width: int, bucket_bits: dict[int, int], pairs: np.ndarray | None) -> list[tuple]:
-    """Filters of the phrases of some lengths whose words are known and whose pairs may be frequent.
+def _filters_of(shard: int, at: np.ndarray, lead: int, lengths: range, width: int, bucket_bits: dict[int, int], pairs: np.ndarray | None) -> Iterator[tuple]:
+    """Filters of the phrases of some lengths, one length after the other, whose words are known and whose pairs may be frequent.
 
     ``at`` are the ids of the words in order, 0 for an unknown one; ``pairs`` the bitmap of frequent pairs, if known.
     """
-    out = []
     linked = (at[:-1] > 0) & (at[1:] > 0)
     if pairs is not None:
         places = np.flatnonzero(linked)
@@ -166,8 +194,8 @@ def _filters_of(shard: int, at: np.ndarray, lead: int, lengths: range, width: in
             continue
         bits = width * k
         keys, counts = qf.counted(qf.permuted(qf.packed((at[places + j] for j in range(k)), k, width), bits))
-        out += [(shard, k, *part) for part in qf.split(keys, counts, bits, bucket_bits[k])]
-    return out
+        for part in qf.split(keys, counts, bits, bucket_bits[k]):
+            yield shard, k, *part
 
 
 def _bits_of(columns: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -213,6 +241,18 @@ def _filters(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(x, t) for x, t in zip(columns, kinds.values(), strict=True)], names=list(kinds))
 
 
+def _filter_batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Filters in batches of about ``_FILTERS_AT_ONCE`` bytes, or one larger filter."""
+    held, size = [], 0
+    for row in rows:
+        if held and size + len(row[-1]) > _FILTERS_AT_ONCE:
+            yield from _filters(held).to_batches()
+            held, size = [], 0
+        held.append(row)
+        size += len(row[-1])
+    yield from _filters(held).to_batches()
+
+
 def _merge(table: pa.Table, width: int):
     k = table["k"][0].as_py()
     filters = zip(table["bucket"].to_pylist(), table["filter"].to_pylist(), strict=True)
@@ -230,7 +270,7 @@ def _resplit(width: int, bucket_bits: dict[int, int]):
     return resplit
 
 
-_STREAM = "shard bigint, n bigint, lead int, ids binary"
+_STREAM = "shard bigint, n bigint, lead int, ids binary, piece int"
 
 
 def _packed_ids(at: np.ndarray) -> bytes:
@@ -238,12 +278,12 @@ def _packed_ids(at: np.ndarray) -> bytes:
 
 
 def _id_streams(coded: DataFrame, dictionary: DataFrame, n_words: int, broadcast_words: int) -> DataFrame:
-    """The shards as sequences of ids, 0 for ends of pieces and words that aren't frequent.
+    """The shards' pieces as sequences of ids, 0 for ends of a text's pieces and words that aren't frequent.
 
     A dictionary of at most ``broadcast_words`` words is sent to all tasks. A larger one is joined with the words
     of each shard, and a shard's codes meet its own words only.
     """
-    kinds = [("shard", pa.int64()), ("n", pa.int64()), ("lead", pa.int32()), ("ids", pa.binary())]
+    kinds = [("shard", pa.int64()), ("n", pa.int64()), ("lead", pa.int32()), ("ids", pa.binary()), ("piece", pa.int32())]
     streams = coded.filter("codes IS NOT NULL")
     if n_words <= broadcast_words:
         known: dict[str, dict[bytes, int]] = {}
@@ -253,27 +293,45 @@ def _id_streams(coded: DataFrame, dictionary: DataFrame, n_words: int, broadcast
 
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for shard, n, top, lead, stream, spelled in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                for shard, n, top, lead, stream, spelled, piece in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
                     at = _streamed(stream, n, _known(spelled, top, sent.value))
-                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip((shard, n, lead, _packed_ids(at)), kinds, strict=True)], names=[c for c, _ in kinds])
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, (_, t) in zip((shard, n, lead, _packed_ids(at), piece), kinds, strict=True)], names=[c for c, _ in kinds])
             give_back()
 
-        return streams.select("shard", "n", "code", "lead", "codes", "words").mapInArrow(look_up, _STREAM)
+        return streams.select("shard", "n", "code", "lead", "codes", "words", "piece").mapInArrow(look_up, _STREAM)
 
     def meet(key: tuple, own: pa.Table, words: pa.Table) -> pa.Table:
         rows = []
-        for n, top, lead, stream in zip(*(own[c].to_pylist() for c in ("n", "top", "lead", "codes")), strict=True):
-            ids = np.zeros(top + 1, np.uint64)
-            ids[words["code"].to_numpy()] = words["id"].to_numpy()
-            rows.append((key[0].as_py(), n, lead, _packed_ids(_streamed(stream, n, ids))))
-        columns = zip(*rows, strict=True) if rows else [[]] * 4
+        own = own.sort_by("piece")
+        ids = np.zeros(pc.max(pa.chunked_array([own["top"].combine_chunks(), words["code"].combine_chunks()])).as_py() + 1, np.uint64)
+        ids[words["code"].to_numpy()] = words["id"].to_numpy()
+        for n, lead, stream, piece in zip(*(own[c].to_pylist() for c in ("n", "lead", "codes", "piece")), strict=True):
+            rows.append((key[0].as_py(), n, lead, _packed_ids(_streamed(stream, n, ids)), piece))
+        columns = zip(*rows, strict=True) if rows else [[]] * 5
         return pa.table([pa.array(c, t) for c, (_, t) in zip(columns, kinds, strict=True)], names=[c for c, _ in kinds])
 
     words = coded.filter("word IS NOT NULL").join(dictionary, ["lang", "word"]).select("shard", "code", "id")
-    streams = streams.select("shard", "codes", "code", "n", "lead").toDF("stream", "codes", "top", "n", "lead")
+    streams = streams.select("shard", "codes", "code", "n", "lead", "piece").toDF("stream", "codes", "top", "n", "lead", "piece")
     return streams.groupBy("stream").cogroup(words.groupBy("shard")).applyInArrow(meet, _STREAM)
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, int]]:
+    """Shard, ids and lead of pieces laid end to end where they follow each other, else one by one; no phrase is lost or counted twice."""
+    shard, last, lead, parts = None, 0, 0, []
+    for batch in batches:
+        for name, piece, n, own_lead, ids in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            at = np.frombuffer(pa.decompress(ids, 8 * n, "zstd"), np.uint64)
+            if parts and (name, piece) == (shard, last + 1):
+                parts.append(at[own_lead:])
+            else:
+                if parts:
+                    yield shard, np.concatenate(parts), lead
+                shard, lead, parts = name, own_lead, [at]
+            last = piece
+    if parts:
+        yield shard, np.concatenate(parts), lead
+
+
 def phrase_filters(streams: DataFrame, width: int, lengths: range, n_tokens: int, group_entries: int, round_bits: int, pairs: np.ndarray | None) -> DataFrame:
     """Rows of filters in which each phrase lies in one group of ``k`` and ``bucket``.
 
@@ -291,13 +349,11 @@ def phrase_filters(streams: DataFrame, width: int, lengths: range, n_tokens: int
     first_bits = bits_of(done)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, n, lead, ids in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                at = np.frombuffer(pa.decompress(ids, 8 * n, "zstd"), np.uint64)
-                yield from _filters(_filters_of(shard, at, lead, lengths, width, first_bits, pairs)).to_batches()
+        for shard, at, lead in _joined(batches):
+            yield from _filter_batches(_filters_of(shard, at, lead, lengths, width, first_bits, pairs))
         give_back()
 
-    filters = streams.select("shard", "n", "lead", "ids").mapInArrow(count, _FILTER)
+    filters = streams.select("shard", "piece", "n", "lead", "ids").mapInArrow(count, _FILTER)
     while done < wanted:
         parts, done = 1 << (wanted - done), done + round_bits
         part = F.pmod(F.xxhash64("shard"), F.lit(parts))
@@ -347,6 +403,7 @@ def collocations(
     longest: int = 5,
     top: int = 2000,
     shard_tokens: int = 1 << 21,
+    piece_tokens: int = 1 << 18,
     group_entries: int = 1 << 21,
     round_bits: int = 8,
     broadcast_words: int = 500_000,
@@ -359,7 +416,8 @@ def collocations(
     first such cut counts). Phrases with ``least`` occurrences take part; one that lies in a longer one as
     frequent as itself is dropped. The first ``top`` stay, by score, count (both descending) and phrase.
 
-    Texts are coded once, in shards that have a dictionary of their own, and written. The corpus' frequent words are
+    Texts are coded once, in shards that have a dictionary of their own, and written in pieces of ``piece_tokens`` codes, so that
+    no row is long; where a shard is counted, pieces that follow each other are laid together. The corpus' frequent words are
     sent to all tasks if they are ``broadcast_words`` at most, else joined with the distinct words of each shard. A
     shard's phrases of frequent words become sorted counting quotient filters of packed word numbers, which groups by
     range of the permuted phrase merge: first all pairs, then the longer ones whose pairs are all frequent by a bitmap of
@@ -369,28 +427,29 @@ def collocations(
     slices; repeated rows count as often; an empty table gives no rows.
     """
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und"))
-    coder = _coder(shard_tokens, longest - 1)
-    coded = stored(docs.select(lang, text_or_empty(f"`{text_col}`")).mapInArrow(coder, _CODED), "phrases-codes")
-    counted = coded.filter("word IS NOT NULL").groupBy("lang", "word").agg(F.sum("n").alias("f"))
-    counted = stored(counted, "phrases-counts")
-    totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent, n_words = _numbered(counted.filter(F.col("f") >= least))
-    n_tokens = frequent.agg(F.sum("f")).first()[0] or 0
-    width = max(1, int(n_words).bit_length())
-    streams = stored(_id_streams(coded, frequent, n_words, broadcast_words), "phrases-streams")
-    sizes = (n_tokens, group_entries, round_bits)
-    found = stored(frequent_phrases(phrase_filters(streams, width, range(2, 3), *sizes, None), width, least), "phrases-pairs")
-    if longest > 2:
-        longer = phrase_filters(streams, width, range(3, longest + 1), *sizes, _bitmap(found, width))
-        found = found.unionByName(stored(frequent_phrases(longer, width, least), "phrases-longer"))
-    spelled = (
-        found.select("ids", "a", F.posexplode("ids").alias("pos", "id"))
-        .join(frequent, "id")
-        .groupBy("ids", "a")
-        .agg(F.min("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("words"))
-    )
-    spelled = spelled.select("lang", F.col("words.word").alias("words"), "a")
-    phrases = stored(spelled.withColumn("phrase", F.array_join("words", " ")), "phrases")
+    coder = _coder(shard_tokens, max(piece_tokens, longest - 1), longest - 1)
+    with small_batches(docs.sparkSession, read_rows=256):
+        coded = stored(docs.select(lang, text_or_empty(f"`{text_col}`")).mapInArrow(coder, _CODED), "phrases-codes", **_SMALL_PAGES)
+        counted = coded.filter("word IS NOT NULL").groupBy("lang", "word").agg(F.sum("n").alias("f"))
+        counted = stored(counted, "phrases-counts")
+        totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
+        frequent, n_words = _numbered(counted.filter(F.col("f") >= least))
+        n_tokens = frequent.agg(F.sum("f")).first()[0] or 0
+        width = max(1, int(n_words).bit_length())
+        streams = stored(_id_streams(coded, frequent, n_words, broadcast_words), "phrases-streams", **_SMALL_PAGES)
+        sizes = (n_tokens, group_entries, round_bits)
+        found = stored(frequent_phrases(phrase_filters(streams, width, range(2, 3), *sizes, None), width, least), "phrases-pairs")
+        if longest > 2:
+            longer = phrase_filters(streams, width, range(3, longest + 1), *sizes, _bitmap(found, width))
+            found = found.unionByName(stored(frequent_phrases(longer, width, least), "phrases-longer"))
+        spelled = (
+            found.select("ids", "a", F.posexplode("ids").alias("pos", "id"))
+            .join(frequent, "id")
+            .groupBy("ids", "a")
+            .agg(F.min("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("words"))
+        )
+        spelled = spelled.select("lang", F.col("words.word").alias("words"), "a")
+        phrases = stored(spelled.withColumn("phrase", F.array_join("words", " ")), "phrases")
 
     counts = phrases.select("lang", "phrase", F.col("a").alias("f"))
     counts = counts.unionByName(frequent.select("lang", F.col("word").alias("phrase"), "f"))

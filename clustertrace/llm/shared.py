@@ -14,15 +14,16 @@ from clustertrace.sources.staging import new_path, shared_dir
 
 __all__ = ["give_back", "new_path", "put", "shared_dir", "small_batches", "stored", "text_or_empty"]
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows written once as Parquet in the shared folder and read back, with their lineage cut.
 
+    ``options`` are the writer's and the reader's.
     What reads the result later sees the same rows whichever executors are lost meanwhile.
     """
     spark = frame.sparkSession
     path = new_path(spark, name)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    frame.write.options(**options).parquet(path)
+    return spark.read.schema(frame.schema).options(**options).parquet(path)
 
 
 def text_or_empty(column: str | Column) -> Column:
@@ -50,17 +51,21 @@ def give_back() -> None:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 2000, size: str = "4m") -> Iterator[None]:
+def small_batches(spark: SparkSession, rows: int = 2000, size: str = "4m", read_rows: int | None = None) -> Iterator[None]:
     """Fewer rows and bytes in a batch between Spark and Python meanwhile, for what is run inside.
 
     A batch is held several times over, by the executor and by its Python workers. A row longer than ``size`` is
-    a batch of its own.
+    a batch of its own. With ``read_rows``, Parquet is read in batches of so many rows too.
     """
     keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    if read_rows is not None:
+        keys.append("spark.sql.parquet.columnarReaderBatchSize")
     before = {key: spark.conf.get(key) for key in keys}
     most = int(before[keys[0]])
     spark.conf.set(keys[0], str(min(rows, most) if most > 0 else rows))
     spark.conf.set(keys[1], size)
+    if read_rows is not None:
+        spark.conf.set(keys[2], str(min(read_rows, int(before[keys[2]]))))
     try:
         yield
     finally:

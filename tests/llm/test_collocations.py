@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from clustertrace.llm import collocations as module
 from clustertrace.llm.collocations import collocations
 from clustertrace.llm.queries import ORACLES, op12_collocations
+from clustertrace.llm.shared import stored
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -76,6 +77,42 @@ def test_long_text_in_slices(spark, monkeypatch):
     assert rows_of(collocations(frame, least=5, shard_tokens=100)) == brute([("en", text)], least=5)
 
 
+@pytest.mark.parametrize("options", [{"shard_tokens": 50, "piece_tokens": 7}, {"shard_tokens": 50, "piece_tokens": 1, "broadcast_words": 0}])
+@pytest.mark.parametrize("parts", [0, 7])
+def test_pieces(spark, monkeypatch, options, parts):
+    """Shards in many pieces, in order or dealt out to tasks in any order."""
+    rows = random_docs(20, 40)
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    monkeypatch.setattr(module, "stored", lambda x, name, **o: stored(x.repartition(parts) if parts and name == "phrases-streams" else x, name, **o))
+    assert rows_of(collocations(frame, least=4, **options)) == brute(rows, least=4)
+
+
+def test_no_long_rows(spark, monkeypatch):
+    """A long shard is no long row of the tables between, as such rows filled the executors' heaps."""
+    rnd, kept = random.Random(4), {}
+    rows = [("en", " ".join(f"w{rnd.randrange(30_000)}" for _ in range(60_000))) for _ in range(10)]
+    frame = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    monkeypatch.setattr(module, "stored", lambda x, name, **o: kept.setdefault(name, stored(x, name, **o)))
+    assert rows_of(collocations(frame, least=5, longest=2)) == brute(rows, least=5, longest=2)
+    assert kept["phrases-codes"].select("shard").distinct().count() == 1
+    for name, column in (("phrases-codes", "codes"), ("phrases-codes", "words"), ("phrases-streams", "ids")):
+        assert 1 < kept[name].filter(f"{column} IS NOT NULL").count() < 10
+        assert kept[name].agg(F.max(F.octet_length(column))).first()[0] < 1 << 20
+
+
+def test_small_batches_to_spark(monkeypatch):
+    """Words and filters leave Python in batches of bounded size, none of them lost."""
+    shard = module._Shard()
+    shard.add("en", [b"w%d" % k for k in range(100_000)])
+    batches = list(shard.rows(1, 1 << 18, 4))
+    assert max(b.num_rows for b in batches) <= 1 << 14 and sum(b.num_rows for b in batches) == 100_001
+    filters = [(1, 2, k, bytes(3 << 20 if k == 4 else 1000 * k)) for k in range(60)]
+    monkeypatch.setattr(module, "_FILTERS_AT_ONCE", 100_000)
+    batches = list(module._filter_batches(iter(filters)))
+    assert [tuple(r.values()) for b in batches for r in b.to_pylist()] == filters
+    assert all(b.num_rows == 1 or sum(map(len, b["filter"].to_pylist())) <= 100_000 for b in batches)
+
+
 def test_counts_beyond_64_bits(spark):
     """Products of the score pass 64 bits; the decimals are exact."""
     big = 4_000_000_007
